@@ -29,7 +29,7 @@ def _bits(h: Column) -> tuple[Column, Column]:
 
 
 def _one(bit: Column) -> Column:
-    return F.expr("shiftleft(1L, 0)") if bit is None else F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    return F.call_function("shiftleft", F.lit(1).cast("long"), bit)
 
 
 def mask_of(h: Column) -> Column:

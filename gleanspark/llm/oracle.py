@@ -12,4 +12,52 @@ ORACLE_SQL: dict[str, str] = {
                doc_id = max(doc_id) OVER w AS kept, text_sha256
         FROM t WINDOW w AS (PARTITION BY text_sha256)
     """,
+    "op8_warc_revisits": r"""
+        WITH bare AS (
+          SELECT page_id, html, regexp_replace(regexp_replace(url, '(?s)#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS u FROM pages
+        ), parts AS (
+          SELECT page_id, html,
+            regexp_replace(regexp_replace(translate(regexp_extract(u, '^([^/?]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ':(80|443)$', ''), '^www\.', '') AS host,
+            regexp_replace(regexp_extract(u, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+            regexp_replace(regexp_replace(regexp_extract(u, '(?s)\?(.*)$', 1), '(^|&)utm_[^&]*', '', 'g'), '^&', '') AS query
+          FROM bare
+        ), captures AS (
+          SELECT page_id, host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS canonical_url,
+            '"' || substr(md5(coalesce(html, '')), 1, 16) || '"' AS tag, strlen(coalesce(html, '')) AS size
+          FROM parts
+        ), matched AS (
+          SELECT v.page_id, v.canonical_url, v.tag, max_by(r.page_id, r.page_id) AS response
+          FROM captures v LEFT JOIN captures r ON r.canonical_url = v.canonical_url AND r.page_id * 2 < (v.page_id + 1000) * 2 + 1
+          GROUP BY ALL
+        )
+        SELECT m.page_id * 2 + 1 AS record_id, m.canonical_url, (m.page_id + 1000) * 2 + 1 AS ts,
+          CASE WHEN r.tag = m.tag THEN r.page_id * 2 END AS resolved_id,
+          CASE WHEN r.page_id IS NULL THEN 'none' WHEN r.tag = m.tag THEN 'resolved' ELSE 'mismatch' END AS outcome,
+          CASE WHEN r.tag = m.tag THEN 'cache-control: max-age=60; content-length: ' || r.size || '; content-type: text/html; etag: W/' || m.tag
+               ELSE 'cache-control: max-age=60; content-length: 0; etag: W/' || m.tag || '; set-cookie: a=b' END AS headers
+        FROM matched m LEFT JOIN captures r ON r.page_id = m.response
+    """,
+    "op9_url_filter": r"""
+        WITH rules(host, path, verdict) AS (
+          VALUES ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'), ('net', '/de/', 'allow'), ('example.net', '/de/8', 'block'), ('org', '/es/', 'block')
+        ), listed AS (
+          SELECT name || '.example.' || top AS host
+          FROM (VALUES ('ads-track'), ('adult-x'), ('casino-win'), ('cheap-pills'), ('free-bets'), ('spam-farm')) a(name), (VALUES ('com'), ('net'), ('org')) b(top)
+        ), cut AS (
+          SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ), parts AS (
+          SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+          FROM cut
+        )
+        SELECT page_id, host, path, rule,
+          CASE WHEN verdict IS NOT NULL THEN verdict
+               WHEN starts_with(path, '/') AND EXISTS (SELECT 1 FROM listed l WHERE p.host = l.host OR ends_with(p.host, '.' || l.host)) THEN 'block'
+               ELSE 'allow' END AS verdict
+        FROM (
+          SELECT p.*, r.host || r.path AS rule, r.verdict,
+            row_number() OVER (PARTITION BY page_id ORDER BY length(r.host || r.path) DESC NULLS LAST, length(r.host) DESC) AS n
+          FROM parts p LEFT JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+        ) p WHERE n = 1
+    """,
 }

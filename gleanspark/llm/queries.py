@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanspark.llm import exact_dedup, langid, mixing, packing, simhash
+from gleanspark.llm import exact_dedup, langid, licenses, media, mixing, packing, simhash, toxicity, urlfilter, warc
 from gleanspark.llm.common import table
 
 
@@ -30,10 +30,61 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.annotate(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = langid.fold(F.col("doc_id"), 4) == 2
+    scored = toxicity.score(docs, toxicity.train(docs, labels.where(~held_out)))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "votes")
+
+
+def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, folder = media.store(table(spark, sf_dir, "documents"))
+    out = media.features(media.metadata(rows, folder), folder)
+    columns = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    return out.select(*columns, "digest", "width", "height", "bits")
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer=default_tokenizer(), capacity=1024, end_id=2)
 
 
+def _captures(pages: DataFrame) -> DataFrame:
+    """Two WARC records a page: its full response, and a 304 of the same URL a thousand pages later with the page's validators."""
+    tag = F.concat(F.lit('"'), F.substring(F.md5(F.coalesce("html", F.lit(""))), 1, 16), F.lit('"'))
+    size = F.octet_length(F.coalesce("html", F.lit(""))).cast("string")
+    full = F.create_map(F.lit("content-type"), F.lit("text/html"), F.lit("content-length"), size, F.lit("etag"), tag, F.lit("cache-control"), F.lit("max-age=3600"))
+    turned = F.create_map(F.lit("content-length"), F.lit("0"), F.lit("etag"), F.concat(F.lit("W/"), tag), F.lit("cache-control"), F.lit("max-age=60"), F.lit("set-cookie"), F.lit("a=b"))
+    record = lambda n, kind, ts, status, headers: F.struct((F.col("page_id") * 2 + n).alias("record_id"), F.lit(kind).alias("type"), "url", ts.alias("ts"), F.lit(status).alias("status"), headers.alias("headers"))
+    both = F.array(record(0, "response", F.col("page_id") * 2, 200, full), record(1, "revisit", (F.col("page_id") + 1000) * 2 + 1, 304, turned))
+    return pages.select(F.explode(both).alias("r")).select("r.*")
+
+
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolve_revisits(_captures(table(spark, sf_dir, "pages")))
+    pairs = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.withColumn("headers", F.array_join(pairs, "; "))
+
+
+#: Host, path, verdict; plain entries without verdict are the filter's own list: canonical URLs of known spam sites.
+RULES = [
+    ("com", "/en/", "block"),
+    ("example.com", "/en/7", "allow"),
+    ("net", "/de/", "allow"),
+    ("example.net", "/de/8", "block"),
+    ("org", "/es/", "block"),
+]
+SPAM = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+LISTED = [(f"{name}.example.{top}", "/", None) for name in SPAM for top in ("com", "net", "org")]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.rule_table(spark, RULES + LISTED))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = langid.fold(F.col("doc_id"), 5) == 0
@@ -42,5 +93,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_simhash, op3_exact_dedup, op7_packing, op10_language_id)
+    f.__name__: f for f in (op1_mixing, op2_simhash, op3_exact_dedup, op4_toxicity, op5_media, op6_licenses, op7_packing, op8_warc_revisits, op9_url_filter, op10_language_id)
 }
