@@ -35,14 +35,14 @@ dummkopf trottel arschloch abschaum dreckig widerlich blödmann vollidiot schwac
 crétin imbécile connard salaud ordure débile pourriture minable
 imbécil estúpido estúpida basura asqueroso asquerosa inútil tonto payaso escoria
 """.split()
-MAX_DOCS = 4000
-#: A word or beginning is a voter if this many distinct toxic documents of the sample have it, and at most one clean one for each PURITY.
-SUPPORT, PURITY, MAX_LEARNED = 8, 40, 80
+MAX_DOCS = 8000
+#: A word ("=") or beginning ("^") is a voter if so many distinct toxic documents of the sample have it, and at most one clean one for each PURITY of them.
+SUPPORT, PURITY, MAX_LEARNED = {"=": 3, "^": 6}, {"=": 6, "^": 20}, 400
 BEGINNINGS = (4, 5, 6, 7)
 STYLE = ("shouting", "bangs", "symbols")
 WORDS = re.compile(r"[^\W\d_]+")
-#: Characters of text searched at once.
-BLOCK = 1 << 20
+#: Correlations below are taken for noise.
+NOISE = 0.2
 
 
 def style_of(text: str) -> list[bool]:
@@ -54,7 +54,7 @@ def style_of(text: str) -> list[bool]:
 
 
 class Voters:
-    """Finds words (kind "=") and word beginnings (kind "^") in whole texts by one automaton."""
+    """Finds words (kind "="), word beginnings ("^") in whole texts by one automaton."""
 
     def __init__(self, terms: list[tuple[str, str]]) -> None:
         self.terms, self.automaton = terms, ahocorasick.Automaton()
@@ -71,7 +71,8 @@ class Voters:
             if (start := end - n + 1) and low[start - 1].isalpha():
                 continue
             for k, kind in uses:
-                if kind == "^" or end + 1 == len(low) or not low[end + 1].isalpha():
+                longer = end + 1 < len(low) and low[end + 1].isalpha()
+                if kind == "^" or not longer:
                     out[k] += 1
         return out
 
@@ -79,15 +80,16 @@ class Voters:
 @dataclass
 class Model:
     terms: list[tuple[str, str]]
-    weights: np.ndarray  # terms' votes, terms' log counts, style, intercept
+    weights: np.ndarray  # terms' votes, style, log count of all terms, intercept
 
 
 def _features(voters: Voters, text: str) -> np.ndarray:
     m = len(voters.terms)
-    x = np.zeros(2 * m + len(STYLE) + 1)
-    for k, n in voters.counts(text).items():
-        x[k], x[m + k] = 1, np.log1p(n)
-    x[2 * m : 2 * m + len(STYLE)] = style_of(text)
+    x = np.zeros(m + len(STYLE) + 2)
+    found = voters.counts(text)
+    x[list(found)] = 1
+    x[m : m + len(STYLE)] = style_of(text)
+    x[-2] = np.log1p(sum(found.values()))
     x[-1] = 1
     return x
 
@@ -105,50 +107,56 @@ def distinct_texts(texts: list[str], bits: int = 8) -> list[int]:
 
 
 def learned_terms(texts: list[str], toxic: list[int]) -> list[tuple[str, str]]:
-    """Words and beginnings that many toxic and hardly any clean texts have; of those in the same texts, the longest beginning."""
+    """Words and beginnings that enough toxic and few enough clean texts have; of beginnings in the same texts, the longest."""
     hits: dict[tuple[str, str], list[int]] = defaultdict(list)
     clean: Counter = Counter()
-    for i, (text, y) in enumerate(zip(texts, toxic, strict=True)):
-        terms = {("=", w) for w in set(WORDS.findall(text.lower())) if len(w) > 2}
-        terms |= {("^", w[:n]) for _, w in terms for n in BEGINNINGS if len(w) >= n}
-        if y:
-            for t in terms:
+    found = [{w for w in WORDS.findall(text.lower()) if len(w) > 2} for text in texts]
+    for i, words in enumerate(found):
+        if toxic[i]:
+            for t in {("=", w) for w in words} | {("^", w[:n]) for w in words for n in BEGINNINGS if len(w) >= n}:
                 hits[t].append(i)
-        else:
-            clean.update(terms)
-    good = [t for t, at in hits.items() if len(at) >= SUPPORT and clean[t] * PURITY <= len(at)]
-    best: dict[tuple, tuple[str, str]] = {}
-    for t in sorted(good, key=lambda t: (t[0] == "=", len(t[1]), t[1])):
-        if t[0] == "^" or tuple(hits[t]) not in best:
-            best[tuple(hits[t])] = t
-    return sorted(best.values(), key=lambda t: (-len(hits[t]), t))[:MAX_LEARNED]
+    hits = {t: at for t, at in hits.items() if len(at) >= SUPPORT[t[0]]}
+    begin = {term for kind, term in hits if kind == "^"}
+    for i, words in enumerate(found):
+        if not toxic[i]:
+            clean.update(("=", w) for w in words if ("=", w) in hits)
+            clean.update({("^", w[:n]) for w in words for n in BEGINNINGS if w[:n] in begin and len(w) >= n})
+    good = sorted((t for t, at in hits.items() if clean[t] * PURITY[t[0]] <= len(at)), key=lambda t: (t[0], len(t[1]), t[1]))
+    beginnings = {tuple(hits[t]): t for t in good if t[0] == "^"}
+    chosen = [t for t in good if t[0] == "="] + list(beginnings.values())
+    return sorted(chosen, key=lambda t: (-len(hits[t]), t))[:MAX_LEARNED]
 
 
 def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(posterior of label 1, rates under both labels, discounts) of binary votes, by EM from ``start``."""
+    """(posterior of label 1, rates under both labels, discounts) of votes, by EM from ``start``.
+
+    A voter that does not fire abstains: terms of one language say nothing about texts in another.
+    """
     q = np.clip(start.astype(float), 0.02, 0.98)
     for _ in range(rounds):
         rates = np.stack([((1 - q) @ votes + 0.5) / ((1 - q).sum() + 1), (q @ votes + 0.5) / (q.sum() + 1)])
         expected = q[:, None] * rates[1] + (1 - q)[:, None] * rates[0]
         residual = votes - expected
         norm = np.sqrt((residual**2).sum(axis=0) + 1e-9)
-        correlation = np.clip(residual.T @ residual / np.outer(norm, norm), 0, 1)
+        correlation = residual.T @ residual / np.outer(norm, norm)
+        correlation[correlation < NOISE] = 0
         np.fill_diagonal(correlation, 1)
         discount = 1 / correlation.sum(axis=1)
         prior = np.clip(q.mean(), 0.01, 0.99)
-        fired, silent = np.log(rates[1] / rates[0]), np.log((1 - rates[1]) / (1 - rates[0]))
-        z = np.log(prior / (1 - prior)) + votes @ (discount * fired) + (1 - votes) @ (discount * silent)
+        z = np.log(prior / (1 - prior)) + votes @ (discount * np.log(rates[1] / rates[0]))
         q = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     return q, rates, discount
 
 
-def fit_linear(x: np.ndarray, q: np.ndarray, rounds: int = 600, ridge: float = 1e-3, rate: float = 0.5) -> np.ndarray:
-    """Logistic regression on soft labels by full gradient steps with momentum."""
-    w, v = np.zeros(x.shape[1]), np.zeros(x.shape[1])
+def fit_linear(x: np.ndarray, q: np.ndarray, rounds: int = 15, ridge: float = 0.2) -> np.ndarray:
+    """Ridge logistic regression on soft labels by Newton steps; the last feature, the intercept, is not shrunk."""
+    w, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
+    penalty[-1] = 1e-6
     for _ in range(rounds):
-        g = x.T @ (1 / (1 + np.exp(-x @ w)) - q) / max(1, len(q)) + ridge * np.append(w[:-1], 0)
-        v = 0.9 * v - rate * g
-        w = w + v
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        g = x.T @ (p - q) + penalty * w
+        h = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        w = w - np.clip(np.linalg.solve(h, g), -4, 4)
     return w
 
 
@@ -165,11 +173,13 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     voters = Voters([*lexicon, *learned])
     m = len(voters.terms)
     if not texts:
-        w = np.zeros(2 * m + len(STYLE) + 1)
+        w = np.zeros(m + len(STYLE) + 2)
         w[:m], w[-1] = 3.0, -3.0
         return Model(voters.terms, w)
     x = np.array([_features(voters, t) for t in texts])
-    votes = np.hstack([x[:, :m], x[:, 2 * m : 2 * m + len(STYLE)]])
+    quiet = ~x[:, :m].any(axis=1)  # a voter too: no term fires
+    known_toxic = np.array(toxic, dtype=bool)  # the sample's labels vote as well, either way
+    votes = np.hstack([x[:, :m], x[:, m : m + len(STYLE)], quiet[:, None], known_toxic[:, None], ~known_toxic[:, None]])
     used = votes.any(axis=0)
     start = np.maximum(np.array(toxic, dtype=float), 0) if any(toxic) else x[:, :m].max(axis=1)
     q, _, _ = label_model(votes[:, used], start)
