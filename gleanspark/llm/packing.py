@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from gleanspark.llm.common import scratch
 
 #: Pieces of one length that are numbered in one task.
-RANGE_ROWS = 200_000
+RANGE_ROWS = 2000
 #: Only for texts within these code points are both tokenizers' character classes surely alike.
 OTHER = re.compile("[^\t-\r\x20-\x7e\xa0-ɏ‐-…]")
 

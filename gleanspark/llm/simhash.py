@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanspark.llm import bloom
 from gleanspark.llm.common import join_groups, scratch
 from gleanspark.llm.components import components, local_roots
 from gleanspark.llm.langid import text_bytes
@@ -372,7 +373,14 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
 
 def drop_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 4, distance: int = 4) -> DataFrame:
-    """The rows of ``docs``, all their columns, of one document per component: the smallest doc_id. Rows with a null doc_id stay."""
+    """The rows of ``docs``, all their columns, of one document per component: the smallest doc_id. Rows with a null doc_id stay.
+
+    Rows that a Bloom filter of the dropped ids lets through meet those ids in a join; all others, texts and all, stay where they are.
+    """
     found = near_duplicates(docs, doc_id=doc_id, text=text, width=width, distance=distance)
-    dropped = found.where(F.col(doc_id) != F.col("component_id")).select(F.col(doc_id).alias("__gone"))
-    return docs.join(dropped, F.col(doc_id) == F.col("__gone"), "left_anti")
+    dropped = scratch(found.where(F.col(doc_id) != F.col("component_id")).select(F.xxhash64(doc_id).alias("__h"), F.col(doc_id).alias("__gone")))
+    blocks = bloom.n_blocks(dropped.count())
+    probed = bloom.probe(docs.withColumn("__h", F.xxhash64(F.col(doc_id).cast("long"))), "__h", bloom.build(dropped, "__h", blocks), blocks, "__maybe")
+    stays = probed.where("not __maybe").drop("__h", "__maybe")
+    checked = probed.where("__maybe").drop("__h", "__maybe").join(dropped.select("__gone"), F.col(doc_id) == F.col("__gone"), "left_anti")
+    return stays.unionByName(checked)
