@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import LongType, StringType
 
 # ---- Fixed values: patterns, word lists and thresholds that define results.
 
@@ -104,7 +104,7 @@ def weights(tokens, cache: dict) -> int:
     return int.from_bytes(np.packbits(on, bitorder="little").tobytes(), "little", signed=True)
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def simhash64(tokens: pd.Series) -> pd.Series:
     """Signed 64 bits: of each, whether at least half of the tokens' hashes (first 64 bits of SHA-256) have it. No token: 0."""
     cache: dict = {}

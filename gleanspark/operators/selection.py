@@ -8,11 +8,13 @@ quota is a window over the duplicate keys.
 from __future__ import annotations
 
 import hashlib
+from collections import namedtuple
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gleanspark.functions import text as t
 from gleanspark.operators.scoring import Config, use_for
@@ -80,23 +82,25 @@ def mark_noise(df: DataFrame, config: Config = Config()) -> DataFrame:
 
 
 def fold(df: DataFrame, keys: list[str], order: list[Column], start: Callable[[], object], step: Callable, result: str) -> DataFrame:
-    """Streams rows by key in order through ``step(state, row) -> tuple``; a state lives for one key. Returns ``df`` with the result's fields."""
+    """Streams rows by key in order through ``step(state, row) -> tuple of strings``; a state lives for one key. Returns ``df`` with the result's fields."""
     ordered = df.repartition(*keys).sortWithinPartitions(*keys, *order)
-    names = [f.split()[0] for f in result.split(", ")]
+    added = StructType.fromDDL(result)
+    schema = StructType([*df.schema.fields, *added.fields])
+    row_type = namedtuple("Row", df.columns)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, state = None, None
-        for frame in frames:
+        for batch in batches:
             out = []
-            for row in frame.itertuples(index=False):
+            for row in map(row_type._make, zip(*(c.to_pylist() for c in batch.columns), strict=True)):
                 key = tuple(getattr(row, k) for k in keys)
                 if key != now:
                     now, state = key, start()
                 out.append(step(state, row))
-            yield frame.assign(**dict(zip(names, zip(*out, strict=True), strict=True))) if out else frame.assign(**{n: [] for n in names})
+            new = [pa.array([r[i] for r in out], pa.string()) for i in range(len(added.fields))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=schema.names)
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
-    return ordered.mapInPandas(run, f"{schema}, {result}")
+    return ordered.mapInArrow(run, schema)
 
 
 def _grams(text: str, n: int) -> set[str]:
