@@ -85,11 +85,8 @@ def normalize_for_dedupe(c: Column, max_chars: int = 1200) -> Column:
 def dedupe_tokens(normalized: Column) -> Column:
     """Words and character 3-grams of a normalised text, repeats included."""
     words = F.when(normalized == "", F.array().cast("array<string>")).otherwise(F.split(normalized, " "))
-    grams = F.transform(
-        F.array(F.replace(normalized, F.lit(" "), F.lit(""))),
-        lambda s: F.when(F.length(s) >= 3, F.transform(F.sequence(F.lit(1), F.length(s) - 2), lambda i: F.call_function("substring", s, i, F.lit(3)))).otherwise(F.array().cast("array<string>")),
-    )
-    return F.concat(words, F.get(grams, F.lit(0)))
+    grams = F.regexp_extract_all(F.replace(normalized, F.lit(" "), F.lit("")), F.lit("(?s)(?=(...))"), F.lit(1))
+    return F.concat(words, grams)
 
 
 def weights(tokens, cache: dict) -> int:
