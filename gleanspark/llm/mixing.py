@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from gleanspark.llm.common import WORD, scratch, without
 
-#: Words that the even shares and the greedy step leave for the dynamic program.
-DP_WORDS = 8192
+#: Words that the even shares and the greedy step leave for the dynamic program; it fits a smaller budget alone.
+DP_WORDS = 1 << 16
 #: Hash ranges within a size: a hot size is ranked in so many parts.
 RANGES = 256
 #: Cut tables of up to so many rows (about 40 bytes each) are broadcast, after counting; larger ones are shuffled.
@@ -57,7 +57,8 @@ def fit_subset(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
         return counts.copy()
     if budget <= 0:
         return take
-    take = np.array([int(c) * budget // total for c in counts], dtype=np.int64)
+    if budget > DP_WORDS:
+        take = np.array([int(c) * (budget - DP_WORDS) // total for c in counts], dtype=np.int64)
     left = budget - int((take * lengths).sum())
     for i in np.argsort(-lengths, kind="stable"):  # greedy down to what the program takes
         if lengths[i] > 0 and left > DP_WORDS:

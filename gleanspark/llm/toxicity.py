@@ -130,9 +130,10 @@ def learned_terms(texts: list[str], toxic: list[int]) -> list[tuple[str, str]]:
 def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(posterior of label 1, rates under both labels, discounts) of votes, by EM from ``start``.
 
-    A voter that does not fire abstains: terms of one language say nothing about texts in another.
+    A voter that does not fire abstains: terms of one language say nothing about texts in another. The balance of labels is that of ``start``.
     """
     q = np.clip(start.astype(float), 0.02, 0.98)
+    prior = np.clip(q.mean(), 0.01, 0.99)
     for _ in range(rounds):
         rates = np.stack([((1 - q) @ votes + 0.5) / ((1 - q).sum() + 1), (q @ votes + 0.5) / (q.sum() + 1)])
         expected = q[:, None] * rates[1] + (1 - q)[:, None] * rates[0]
@@ -142,7 +143,6 @@ def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 30) -> tuple
         correlation[correlation < NOISE] = 0
         np.fill_diagonal(correlation, 1)
         discount = 1 / correlation.sum(axis=1)
-        prior = np.clip(q.mean(), 0.01, 0.99)
         z = np.log(prior / (1 - prior)) + votes @ (discount * np.log(rates[1] / rates[0]))
         q = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     return q, rates, discount
