@@ -120,25 +120,41 @@ class Representatives:
         if len(self.hashes) > 100_000:
             self.hashes.clear()
         bits = t.weights(listed, self.hashes)
-        tokens, pairs = set(listed), _grams(compact, 2)
-        least = self.config.jaccard
-        for other, its_bits, its_compact, its_tokens, its_pairs in self.texts:
-            if other == text:
+        new = (text, bits, len(compact), *_marked(set(listed)), *_marked(_grams(compact, 2)))
+        for other in self.texts:
+            if other[0] == text:
                 return ""
-            if ((bits ^ its_bits) & ALL_BITS).bit_count() <= self.config.simhash_hamming:
-                return "near"
-            low, high = sorted((len(tokens), len(its_tokens)))
-            if low >= least * high and len(tokens & its_tokens) >= least * len(tokens | its_tokens):
-                return "near"
-            short, long = (pairs, its_pairs) if len(compact) <= len(its_compact) else (its_pairs, pairs)
-            n, m = sorted((len(compact), len(its_compact)))
-            if n and n / m <= 0.88 and short and long and len(short & long) / len(short) >= least:
+            if ((bits ^ other[1]) & ALL_BITS).bit_count() <= self.config.simhash_hamming or self.alike(new, other):
                 return "near"
         if len(self.texts) >= self.config.max_representatives:
             return "saturated"
-        self.texts.append((text, bits, compact, tokens, pairs))
+        self.texts.append(new)
         return ""
 
+    def alike(self, one: tuple, other: tuple) -> bool:
+        """Jaccard over tokens, or containment over 2-grams where one text is clearly shorter. The marks bound what
+        one set lacks of the other from below, which settles most pairs without the sets."""
+        least = self.config.jaccard
+        _, _, n, tokens, marks, pairs, pair_marks = one
+        _, _, m, its_tokens, its_marks, its_pairs, its_pair_marks = other
+        most = min(len(tokens) - (marks & ~its_marks).bit_count(), len(its_tokens) - (its_marks & ~marks).bit_count())
+        size = len(tokens) + len(its_tokens)
+        if most >= least * (size - most) and (both := len(tokens & its_tokens)) >= least * (size - both):
+            return True
+        if n > m:
+            n, m, pairs, pair_marks, its_pairs, its_pair_marks = m, n, its_pairs, its_pair_marks, pairs, pair_marks
+        if not n or n / m > 0.88 or not pairs or (pair_marks & ~its_pair_marks).bit_count() > (1 - least) * len(pairs) + 1:
+            return False
+        return len(pairs & its_pairs) / len(pairs) >= least
+
+
+def _marked(tokens: set[str]) -> tuple[set[str], int]:
+    """The set, and a bit for each token's hash."""
+    marks = 0
+    for x in tokens:
+        marks |= 1 << (hash(x) & 4095)
+    return tokens, marks
+
 
 def mark_near_duplicates(df: DataFrame, config: Config = Config()) -> DataFrame:
     """In rank order within a bucket, rows that resemble an earlier representative."""
@@ -235,7 +251,7 @@ def decide_by_fold(rows: DataFrame, config: Config = Config()) -> DataFrame:
 
 def select(marked: DataFrame, config: Config = Config()) -> DataFrame:
     """date, kind, sample_id, line_no, decision of every candidate."""
-    rows = candidates(marked)
+    rows = candidates(marked).persist()  # slim rows, used by the check of quotas and by the decision
     decided = decide_by_windows(rows, config) if quota_free(rows, config) else decide_by_fold(rows, config)
     return decided.select("date", "kind", "sample_id", "line_no", "decision")
 
