@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gleanspark.functions import text as t
 from gleanspark.operators import exports, labels, reports, samples, scoring, selection, synthetic
 from gleanspark.operators.scoring import Config
+from gleanspark.sources import audit
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -446,3 +447,62 @@ def syn_parse(spark, sf_dir):
     sample = F.struct(F.lit("router").alias("task_type"), F.lit("b").alias("topic"), F.col("text").alias("input"), F.lit("general_chat").alias("label"))
     answers = _read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("batch_index"), F.to_json(F.struct(F.array(sample).alias("samples"))).alias("answer"))
     return synthetic.parse_answers(answers).select("sample_id", "task_type")
+
+
+# ---------------------------------------------------------------- logged records made from documents
+
+
+def _logged(spark: SparkSession, sf_dir: str, tools: bool = False) -> DataFrame:
+    """A log record of each document; what is wrong with it depends on its language."""
+    docs = _read(spark, sf_dir, "documents")
+    by = lambda de, fr, es, en: F.when(F.col("lang") == "de", de).when(F.col("lang") == "fr", fr).when(F.col("lang") == "es", es).otherwise(en)
+    lit, user = F.lit, F.struct(F.lit("user").alias("role"), F.col("text").alias("content"))
+    function = lambda name, arguments: F.struct(lit("c1").alias("id"), lit("function").alias("type"), F.struct(name.alias("name"), arguments.alias("arguments")).alias("function"))
+    if tools:
+        call = function(by(lit("g"), lit("f"), lit("f"), lit("f")), by(lit("{}"), lit("[1]"), lit("{}"), lit('{"a": 1}')))
+        reply = F.struct(lit("assistant").alias("role"), lit("done").alias("content"), F.when(F.col("lang") != "es", F.array(call)).alias("tool_calls"))
+        body = F.struct(F.array(user).alias("messages"), F.array(F.struct(lit("function").alias("type"), F.struct(lit("f").alias("name")).alias("function"))).alias("tools"))
+        status, tokens = lit("success"), lit(5)
+    else:
+        reply = F.struct(lit("assistant").alias("role"), by(lit("ok"), lit("  "), lit("ok"), F.col("source")).alias("content"))
+        body, status, tokens = F.struct(F.array(user).alias("messages")), by(lit("error"), lit("success"), lit("success"), lit("success")), by(lit(5), lit(5), lit(-1), lit(5))
+    record = F.struct(
+        status.alias("status"), F.concat(lit("r"), F.col("doc_id")).alias("request_id"), F.col("source").alias("user_id"), lit("gpt-4o").alias("model"), body.alias("request_body"),
+        F.struct(F.array(F.struct(reply.alias("message"), lit("stop").alias("finish_reason"))).alias("choices"), F.struct(tokens.alias("prompt_tokens")).alias("usage")).alias("response_body"),
+    )
+    return docs.select(lit("2026-01-01").alias("date"), F.col("doc_id").alias("line_no"), F.concat(lit("r"), F.col("doc_id")).alias("request_id"), F.concat(F.col("doc_id"), lit(".json")).alias("file_path"), F.to_json(record).alias("raw"))
+
+
+REASONS = """CASE WHEN lang = 'de' THEN 'status_not_success' WHEN lang = 'es' THEN 'invalid_usage' WHEN lang = 'fr' THEN 'empty_assistant_response' WHEN length(text) > 199000 THEN 'prompt_too_long' END"""
+
+
+@query(f"SELECT doc_id AS line_no, {REASONS} AS reason FROM documents")
+def val_chain(spark, sf_dir):
+    return audit.canonicalise(_logged(spark, sf_dir)).select("line_no", "reason")
+
+
+@query("SELECT doc_id AS line_no, CASE lang WHEN 'de' THEN 'unknown_tool_name' WHEN 'fr' THEN 'invalid_tool_arguments' WHEN 'es' THEN 'missing_tool_calls' END AS tool_trace, 'tool_agent' AS route_label FROM documents")
+def val_tooltrace(spark, sf_dir):
+    return scoring.classify(audit.canonicalise(_logged(spark, sf_dir, tools=True)).where("reason is null")).select("line_no", "tool_trace", "route_label")
+
+
+@query()
+def red_tree(spark, sf_dir):
+    return audit.canonicalise(_logged(spark, sf_dir)).where("reason is null").select("line_no", "sample_id", "redaction_hits", "messages_json")
+
+
+@query()
+def exp_sel_tool(spark, sf_dir):
+    marked = selection.mark_dedupe(scoring.annotate(audit.canonicalise(_logged(spark, sf_dir, tools=True)).where("reason is null").drop("reason")))
+    return exports.selected_tool_use(selection.apply_decisions(marked, selection.select(marked)))
+
+
+@query()
+def exp_tool(spark, sf_dir):
+    return exports.tool_use(scoring.annotate(audit.canonicalise(_logged(spark, sf_dir, tools=True)).where("reason is null").drop("reason")))
+
+
+@query(f"SELECT coalesce({REASONS}, 'accepted') AS reason, count(*) AS n FROM documents GROUP BY 1")
+def cli_run(spark, sf_dir):
+    read = audit.canonicalise(_logged(spark, sf_dir))
+    return read.groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n"))

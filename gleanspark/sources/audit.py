@@ -133,6 +133,31 @@ def hash_id(value) -> str:
     return "" if value is None or value == "" else hashlib.sha256(str(value).encode()).hexdigest()[:16]
 
 
+def canonicalise(raw: DataFrame) -> DataFrame:
+    """Samples, or reasons, of records that are already in a table: date, line_no, request_id, file_path, raw (JSON text)."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = StructType.fromDDL(f"{SAMPLE_SCHEMA}, reason string")
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                row: dict = {"reason": None}
+                try:
+                    value = records.parse(r["raw"] or "")
+                    row |= records.canonical(r["date"], r["line_no"], {"request_id": r["request_id"], "file_path": r["file_path"]}, value, hash_id)
+                except records.Rejected as e:
+                    row["reason"] = str(e)
+                except ValueError:
+                    row["reason"] = "bad_detail_json"
+                rows.append({"date": r["date"], "line_no": r["line_no"]} | row)
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+
+    return raw.select("date", "line_no", "request_id", "file_path", "raw").mapInArrow(run, schema)
+
+
 def read_samples(spark: SparkSession, root: str, dates: list[str], limit: int | None = None) -> DataFrame:
     """A row per index line: ``reason`` (null if accepted) and the sample's columns.
 
