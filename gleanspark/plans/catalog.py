@@ -177,7 +177,7 @@ def exp_sft_json(spark, sf_dir):
     return exports.sft(rows)
 
 
-@query(f"""WITH {SAMPLES} SELECT sample_id, user_text AS input, message_count, prompt_tokens, route_label AS rule_label, route_label AS final_label, 'medium' AS confidence FROM labelled""")
+@query(f"""WITH {SAMPLES} SELECT sample_id, user_text AS input, message_count, CAST(prompt_tokens AS BIGINT) AS prompt_tokens, route_label AS rule_label, route_label AS final_label, 'medium' AS confidence FROM labelled""")
 def exp_router(spark, sf_dir):
     rows = exports.router(_scored(spark, sf_dir))
     get = lambda path: F.get_json_object("json", path)
