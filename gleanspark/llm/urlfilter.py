@@ -7,7 +7,8 @@ pass the filter meet the list by an exact join, which removes false positives. R
 that fits decides (of equally long ones that with the longer host; keys that occur twice: block wins). Else a URL is blocked if a
 listed entry without rule fits, and allowed otherwise.
 
-Each distinct URL is judged once. Null URLs and URLs without `://` have empty host and path and fit nothing. An empty table or list
+Each distinct URL is judged once. The findings of URLs that hold more than ``HOT_SHARE`` of the rows (at most 1 / HOT_SHARE of
+them) are broadcast to their rows, so no URL fills a task; null URLs meet no join. Null URLs and URLs without `://` have empty host and path and fit nothing. An empty table or list
 gives an empty or all-allowing result. Extra columns are ignored.
 """
 
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanspark.llm import bloom
-from gleanspark.llm.common import UPPER
+from gleanspark.llm.common import HOT_SHARE, UPPER, scratch
 
 #: Lists of up to so many entries (some 100 bytes each) are broadcast, after counting; longer ones are shuffled.
 BROADCAST_ROWS = 500_000
@@ -42,7 +43,11 @@ def judge(pages: DataFrame, entries: DataFrame, *, page_id: str = "page_id", url
     shape = listed.agg(F.sort_array(F.collect_set("path_length")).alias("lengths"), F.max("labels").alias("labels"), F.count("*").alias("n")).first()
     lengths, most, n = shape["lengths"] or [0], shape["labels"] or 1, shape["n"]
     host, path = host_and_path(F.col("url"))
-    urls = pages.select(F.col(url).alias("url")).where("url is not null").distinct().select("url", host.alias("host"), path.alias("path"))
+    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"))
+    counted = scratch(rows.where("url is not null").groupBy("url").agg(F.count("*").alias("n")))
+    least = max(1000, int((counted.agg(F.sum("n")).first()[0] or 0) * HOT_SHARE))
+    hot = F.broadcast(counted.where(F.col("n") > least).select("url"))
+    urls = counted.select("url", host.alias("host"), path.alias("path"))
     labels = F.split("host", r"\.")
     last = F.least(F.size(labels), F.lit(most))
     suffixes = F.transform(F.sequence(F.lit(1), last), lambda k: F.array_join(F.slice(labels, F.size(labels) - k + 1, k), "."))
@@ -56,7 +61,9 @@ def judge(pages: DataFrame, entries: DataFrame, *, page_id: str = "page_id", url
     hits = passed.join(F.broadcast(exact) if n <= BROADCAST_ROWS else exact, "key")
     rank = F.struct(F.length("key").alias("length"), "host_length", "verdict", "key")  # "block" sorts after "allow"
     found = hits.groupBy("url").agg(F.max(F.when(F.col("verdict").isNotNull(), rank)).alias("best"), F.max(F.col("verdict").isNull()).alias("listed"))
-    found = found.select(F.col("url").alias("__found"), "best", "listed")
-    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url")).join(found, F.col("url") == F.col("__found"), "left")
+    found = scratch(found)
+    hot_rows = rows.join(hot, "url", "left_semi").join(F.broadcast(found.join(hot, "url", "left_semi")), "url", "left")
+    cold_rows = rows.where("url is not null").join(hot, "url", "left_anti").join(found, "url", "left")
+    rows = hot_rows.unionByName(cold_rows).unionByName(rows.where("url is null"), allowMissingColumns=True)
     verdict = F.coalesce("best.verdict", F.when(F.col("listed"), "block").otherwise("allow"))
     return rows.select(F.col("page_id").alias(page_id), host.alias("host"), path.alias("path"), F.col("best.key").alias("rule"), verdict.alias("verdict"))

@@ -42,6 +42,14 @@ def test_url_filter(spark):
     assert sorted([(r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got], key=str) == want
 
 
+def test_url_filter_of_hot_urls(spark):
+    entries = queries.RULES + queries.LISTED
+    rows = [(i, URLS[(0, 3, 9, 5)[i % 4]] if i % 8 else f"http://h{i}.org/es/{i}", None, "h", "r") for i in range(9000)]
+    got = urlfilter.judge(spark.createDataFrame(rows, PAGES).repartition(4), urlfilter.rule_table(spark, entries)).collect()
+    want = sorted((i, *verdict(u, entries)) for i, u, *_ in rows)
+    assert sorted((r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got) == want
+
+
 def test_url_filter_of_nothing(spark):
     empty, none = spark.createDataFrame([], PAGES), urlfilter.rule_table(spark, [])
     assert urlfilter.judge(empty, urlfilter.rule_table(spark, queries.RULES)).count() == 0
