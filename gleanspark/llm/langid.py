@@ -6,8 +6,8 @@ calibrated by a temperature fitted on a fifth of the sample that training leaves
 if it is null or has no letter, or if its score is below a bound under which at most
 ``REJECT_SHARE`` of that fifth lies, and never above ``REJECT_CHANCE`` times the score of a blind guess.
 
-Training reads at most ``max_docs`` labelled documents, those with the smallest seeded hash; it
-uses each whole text and two windows of it. Prediction reads every whole text. As the mean and the softmax's
+Training reads at most ``max_docs`` labelled documents, those with the smallest seeded hash; rows that repeat a doc_id
+count once, with the least text. It uses each whole text and two windows of it. Prediction reads every whole text. As the mean and the softmax's
 input are linear, executors add up one row of class scores a subword. Null text or no letter: `und`, score 0.
 An empty table gives an empty result. Without any labelled row all texts are `und`.
 """
@@ -90,11 +90,12 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(labelled: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "lang", max_docs: int = MAX_DOCS, seed: int = 5) -> Model:
     """A model of the rows with a label. At most ``max_docs`` documents' subword counts reach the driver."""
-    keyed = labelled.where(F.col(label).isNotNull()).select(text, F.col(label).cast("string").alias("label"), F.xxhash64(F.lit(seed), doc_id).alias("h"))
-    last = keyed.select("h").orderBy("h").limit(max_docs).agg(F.max("h")).first()[0]
+    keyed = labelled.where(F.col(label).isNotNull()).select(F.col(text).alias("text"), F.col(label).cast("string").alias("label"), F.xxhash64(F.lit(seed), doc_id).alias("h"))
+    last = keyed.select("h").distinct().orderBy("h").limit(max_docs).agg(F.max("h")).first()[0]
     if last is None:
         return Model([], np.zeros((1, 0)), np.zeros(0), 1.0, 1.0)
-    sample = keyed.where(F.col("h") <= last).mapInArrow(_features, "label string, h long, ids array<int>, counts array<int>").toArrow()
+    one = keyed.where(F.col("h") <= last).groupBy("h").agg(F.min(F.struct("text", "label")).alias("d")).select("d.text", "d.label", "h")
+    sample = one.mapInArrow(_features, "label string, h long, ids array<int>, counts array<int>").toArrow()
     data = sorted(zip(*(sample.column(i).to_pylist() for i in (1, 0)), (np.array(x) for x in sample.column(2).to_pylist()), (np.array(x, dtype=np.float32) for x in sample.column(3).to_pylist()), strict=True), key=lambda x: (x[0], len(x[2])))
     labels = sorted({x[1] for x in data})
     no = {name: k for k, name in enumerate(labels)}

@@ -5,8 +5,8 @@ texts, and patterns of style. The label model takes votes as drawn given a hidde
 estimates each voter's rates under both labels, and the correlation of voters' residuals discounts those that
 repeat each other. A logistic classifier over votes, vote counts and style is trained on the posterior labels.
 
-Training reads at most ``max_docs`` labelled documents, those with the smallest seeded hash of doc_id; near copies among
-them count once. Scoring reads every whole text. Null and empty texts have no votes and
+Training reads at most ``max_docs`` labelled documents, those with the smallest seeded hash of doc_id; rows that repeat one of these ids count once,
+with the least text, and so do near copies among them. Scoring reads every whole text. Null and empty texts have no votes and
 score by the intercept alone. An empty table gives an empty result. Without any labelled row only the lexicon and the patterns vote, and
 the lexicon's votes serve as labels.
 """
@@ -164,7 +164,8 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     """A model from the labelled documents. At most ``max_docs`` of them reach the driver."""
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.max(label).cast("int").alias("__y"))
     known = known.orderBy(F.xxhash64(F.lit(seed), doc_id), doc_id).limit(max_docs).withColumnRenamed(doc_id, "__id")
-    rows = docs.join(F.broadcast(known), F.col(doc_id) == F.col("__id")).select("__id", F.coalesce(F.col(text), F.lit("")).alias("t"), "__y").toArrow()
+    found = docs.join(F.broadcast(known), F.col(doc_id) == F.col("__id")).select("__id", F.coalesce(F.col(text), F.lit("")).alias("t"), "__y")
+    rows = found.groupBy("__id").agg(F.min("t").alias("t"), F.first("__y").alias("__y")).toArrow()
     data = sorted(zip(*(rows.column(i).to_pylist() for i in range(3)), strict=True))
     data = [data[i] for i in distinct_texts([x[1] for x in data])]
     texts, toxic = [x[1] for x in data], [x[2] for x in data]

@@ -30,6 +30,19 @@ def test_language_id_of_odd_texts(spark, odd_docs, no_docs):
     assert {r["lang_pred"] for r in langid.predict(odd_docs, none).collect()} == {"und"}
 
 
+def test_samples_stay_bounded_when_ids_repeat(spark, monkeypatch):
+    rows = [(i % 7, f"some words {i % 11} of text {i % 7}", "en") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    pieces = []
+    monkeypatch.setattr(langid, "_calibrated", lambda model, held, no: pieces.extend(held) or model)
+    assert langid.train(docs, max_docs=3).labels == ["en"] and len(pieces) <= 3
+    sample = []
+    monkeypatch.setattr(toxicity, "distinct_texts", lambda texts: sample.extend(texts) or list(range(len(texts))))
+    toxicity.train(docs, docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic")), max_docs=3)
+    least = {k: min(t for i, t, _ in rows if i == k) for k in range(7)}
+    assert len(sample) == 3 and set(sample) <= set(least.values())
+
+
 def test_blocks_do_not_matter(spark, docs, monkeypatch):
     import numpy as np
 
