@@ -25,29 +25,30 @@ BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public l
 GATES = ("licen", "spdx", "copyright", "public domain", "all rights reserved", "creative commons")
 
 #: label, keyword, name pattern, link pattern. Names are matched in lower-cased text; "_" stands for white space or a hyphen.
+#: Every match of the name holds the keyword, which is within one word, as words may be parted by a line break or a hyphen.
 FAMILIES = (
-    ("MIT", "mit", r"(?:mit|expat)_licen[cs]e", r"opensource\.org/licenses?/mit"),
-    ("MIT-0", "mit no", r"mit_no_attribution(?:_licen[cs]e)?", r"opensource\.org/licenses?/mit-0"),
+    ("MIT", "licen", r"(?:mit|expat)_licen[cs]e", r"opensource\.org/licenses?/mit"),
+    ("MIT-0", "attribution", r"mit_no_attribution(?:_licen[cs]e)?", r"opensource\.org/licenses?/mit-0"),
     ("X11", "x11", r"x11_licen[cs]e", r"spdx\.org/licenses/x11"),
     ("Apache-1.1", "apache", r"apache_(?:software_)?licen[cs]e,?_(?:version_)?v?1\.1", r"apache\.org/licenses/license-1\.1"),
     ("Apache-2.0", "apache", r"apache_(?:software_)?licen[cs]e,?_(?:version_)?v?2(?:\.0)?", r"apache\.org/licenses/license-2\.0"),
     ("Apache", "apache", r"apache_(?:software_)?licen[cs]e", r"apache\.org/licenses"),
-    ("GPL-1.0", "general public", r"(?:gnu_)?general_public_licen[cs]e,?_(?:version_|v)1(?:\.0)?", r"gnu\.org/licenses/(?:old-licenses/)?gpl-1\.0"),
-    ("GPL-2.0", "general public", r"(?:gnu_)?general_public_licen[cs]e,?_(?:version_|v)2(?:\.0)?", r"gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0"),
-    ("GPL-3.0", "general public", r"(?:gnu_)?general_public_licen[cs]e,?_(?:version_|v)3(?:\.0)?", r"gnu\.org/licenses/gpl-3\.0"),
-    ("GPL", "general public", r"(?:gnu_)?general_public_licen[cs]e", r"gnu\.org/licenses/gpl(?:\.html|\.txt)?"),
+    ("GPL-1.0", "general", r"(?:gnu_)?general_public_licen[cs]e,?_(?:version_|v)1(?:\.0)?", r"gnu\.org/licenses/(?:old-licenses/)?gpl-1\.0"),
+    ("GPL-2.0", "general", r"(?:gnu_)?general_public_licen[cs]e,?_(?:version_|v)2(?:\.0)?", r"gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0"),
+    ("GPL-3.0", "general", r"(?:gnu_)?general_public_licen[cs]e,?_(?:version_|v)3(?:\.0)?", r"gnu\.org/licenses/gpl-3\.0"),
+    ("GPL", "general", r"(?:gnu_)?general_public_licen[cs]e", r"gnu\.org/licenses/gpl(?:\.html|\.txt)?"),
     ("GPL-short", "gpl", r"(?:gnu_)?gpl(?:_?v?[123](?:\.0)?)?_licen[cs]e", r"gnu\.org/copyleft/gpl"),
-    ("LGPL-2.0", "library general", r"(?:gnu_)?library_general_public_licen[cs]e", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.0"),
-    ("LGPL-2.1", "lesser general", r"(?:gnu_)?lesser_general_public_licen[cs]e,?_(?:version_|v)2\.1", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1"),
-    ("LGPL-3.0", "lesser general", r"(?:gnu_)?lesser_general_public_licen[cs]e,?_(?:version_|v)3(?:\.0)?", r"gnu\.org/licenses/lgpl-3\.0"),
-    ("LGPL", "lesser general", r"(?:gnu_)?lesser_general_public_licen[cs]e", r"gnu\.org/licenses/lgpl(?:\.html|\.txt)?"),
+    ("LGPL-2.0", "library", r"(?:gnu_)?library_general_public_licen[cs]e", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.0"),
+    ("LGPL-2.1", "lesser", r"(?:gnu_)?lesser_general_public_licen[cs]e,?_(?:version_|v)2\.1", r"gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1"),
+    ("LGPL-3.0", "lesser", r"(?:gnu_)?lesser_general_public_licen[cs]e,?_(?:version_|v)3(?:\.0)?", r"gnu\.org/licenses/lgpl-3\.0"),
+    ("LGPL", "lesser", r"(?:gnu_)?lesser_general_public_licen[cs]e", r"gnu\.org/licenses/lgpl(?:\.html|\.txt)?"),
     ("AGPL-3.0", "affero", r"(?:gnu_)?affero_general_public_licen[cs]e(?:,?_(?:version_|v)3(?:\.0)?)?", r"gnu\.org/licenses/agpl(?:-3\.0)?"),
     ("GFDL", "documentation", r"(?:gnu_)?free_documentation_licen[cs]e", r"gnu\.org/licenses/(?:old-licenses/)?fdl"),
     ("BSD-2-Clause", "bsd", r"(?:bsd_2_clause|2_clause_bsd|simplified_bsd|freebsd)_licen[cs]e", r"opensource\.org/licenses?/bsd-2-clause"),
     ("BSD-3-Clause", "bsd", r"(?:bsd_3_clause|3_clause_bsd|new_bsd|modified_bsd|revised_bsd)_licen[cs]e", r"opensource\.org/licenses?/bsd-3-clause"),
     ("BSD-4-Clause", "bsd", r"(?:bsd_4_clause|4_clause_bsd|original_bsd)_licen[cs]e", r"spdx\.org/licenses/bsd-4-clause"),
     ("0BSD", "bsd", r"(?:zero_clause_bsd|0bsd|bsd_zero_clause)_licen[cs]e", r"opensource\.org/licenses?/0bsd"),
-    ("BSD", "bsd", r"(?:berkeley_|bsd_style_|bsd_)licen[cs]e", r"opensource\.org/licenses?/bsd-license"),
+    ("BSD", "licen", r"(?:berkeley_|bsd_style_|bsd_)licen[cs]e", r"opensource\.org/licenses?/bsd-license"),
     ("MPL-1.1", "mozilla", r"mozilla_public_licen[cs]e,?_(?:version_|v)?1\.1", r"mozilla\.org/mpl/1\.1"),
     ("MPL-2.0", "mozilla", r"mozilla_public_licen[cs]e,?_(?:version_|v)?2(?:\.0)?", r"mozilla\.org/mpl/2\.0"),
     ("MPL", "mozilla", r"mozilla_public_licen[cs]e", r"mozilla\.org/mpl"),
@@ -55,12 +56,12 @@ FAMILIES = (
     ("EPL-2.0", "eclipse", r"eclipse_public_licen[cs]e(?:_-)?,?_(?:version_|v)?2(?:\.0)?", r"eclipse\.org/legal/epl-2\.0"),
     ("EPL", "eclipse", r"eclipse_public_licen[cs]e", r"eclipse\.org/legal/epl"),
     ("EDL-1.0", "eclipse", r"eclipse_distribution_licen[cs]e", r"eclipse\.org/org/documents/edl-v10"),
-    ("CDDL-1.0", "common development", r"common_development_and_distribution_licen[cs]e", r"opensource\.org/licenses?/cddl-1\.0"),
-    ("CPL-1.0", "common public", r"common_public_licen[cs]e", r"opensource\.org/licenses?/cpl1?\.0"),
+    ("CDDL-1.0", "development", r"common_development_and_distribution_licen[cs]e", r"opensource\.org/licenses?/cddl-1\.0"),
+    ("CPL-1.0", "common", r"common_public_licen[cs]e", r"opensource\.org/licenses?/cpl1?\.0"),
     ("CPAL-1.0", "attribution", r"common_public_attribution_licen[cs]e", r"opensource\.org/licenses?/cpal"),
-    ("EUPL-1.2", "european union", r"european_union_public_licen[cs]e", r"opensource\.org/licenses?/eupl"),
-    ("OSL-3.0", "open software", r"open_software_licen[cs]e", r"opensource\.org/licenses?/osl-3\.0"),
-    ("AFL-3.0", "academic free", r"academic_free_licen[cs]e", r"opensource\.org/licenses?/afl-3\.0"),
+    ("EUPL-1.2", "european", r"european_union_public_licen[cs]e", r"opensource\.org/licenses?/eupl"),
+    ("OSL-3.0", "software", r"open_software_licen[cs]e", r"opensource\.org/licenses?/osl-3\.0"),
+    ("AFL-3.0", "academic", r"academic_free_licen[cs]e", r"opensource\.org/licenses?/afl-3\.0"),
     ("Artistic-1.0", "artistic", r"artistic_licen[cs]e,?_(?:version_|v)?1(?:\.0)?", r"opensource\.org/licenses?/artistic-1\.0"),
     ("Artistic-2.0", "artistic", r"artistic_licen[cs]e,?_(?:version_|v)?2(?:\.0)?", r"opensource\.org/licenses?/artistic-2\.0"),
     ("Artistic", "artistic", r"artistic_licen[cs]e", r"dev\.perl\.org/licenses"),
@@ -68,23 +69,23 @@ FAMILIES = (
     ("Zlib", "zlib", r"zlib(?:/libpng)?_licen[cs]e", r"zlib\.net/zlib_license"),
     ("libpng-2.0", "libpng", r"libpng_licen[cs]e", r"libpng\.org/pub/png/src/libpng-license"),
     ("BSL-1.0", "boost", r"boost_software_licen[cs]e", r"boost\.org/license_1_0"),
-    ("BUSL-1.1", "business source", r"business_source_licen[cs]e", r"mariadb\.com/bsl11"),
-    ("SSPL-1.0", "server side", r"server_side_public_licen[cs]e", r"mongodb\.com/licensing/server-side-public-license"),
+    ("BUSL-1.1", "business", r"business_source_licen[cs]e", r"mariadb\.com/bsl11"),
+    ("SSPL-1.0", "server", r"server_side_public_licen[cs]e", r"mongodb\.com/licensing/server-side-public-license"),
     ("Elastic-2.0", "elastic", r"elastic_licen[cs]e(?:_2\.0)?", r"elastic\.co/licensing/elastic-license"),
     ("Unlicense", "unlicense", r"(?:the_)?unlicense", r"unlicense\.org"),
-    ("WTFPL", "what the f", r"do_what_the_f\S+_you_want_to_public_licen[cs]e", r"wtfpl\.net"),
+    ("WTFPL", "what", r"do_what_the_f\S+_you_want_to_public_licen[cs]e", r"wtfpl\.net"),
     ("CC0-1.0", "cc0", r"cc0(?:_1\.0)?(?:_universal)?", r"creativecommons\.org/publicdomain/zero"),
-    ("CC-BY-3.0", "creative commons", r"creative_commons_attribution_3\.0", r"creativecommons\.org/licenses/by/3\.0"),
-    ("CC-BY-4.0", "creative commons", r"creative_commons_attribution_4\.0", r"creativecommons\.org/licenses/by/4\.0"),
-    ("CC-BY-SA", "creative commons", r"creative_commons_attribution_share_?alike", r"creativecommons\.org/licenses/by-sa"),
-    ("CC-BY-NC", "creative commons", r"creative_commons_attribution_non_?commercial", r"creativecommons\.org/licenses/by-nc"),
-    ("CC-BY-ND", "creative commons", r"creative_commons_attribution_no_?derivatives", r"creativecommons\.org/licenses/by-nd"),
-    ("CC-BY", "creative commons", r"creative_commons_attribution", r"creativecommons\.org/licenses/by/"),
-    ("ODbL-1.0", "open database", r"open_database_licen[cs]e", r"opendatacommons\.org/licenses/odbl"),
-    ("ODC-By-1.0", "open data commons", r"open_data_commons_attribution_licen[cs]e", r"opendatacommons\.org/licenses/by"),
-    ("PDDL-1.0", "public domain dedication", r"public_domain_dedication_and_licen[cs]e", r"opendatacommons\.org/licenses/pddl"),
-    ("OFL-1.1", "open font", r"(?:sil_)?open_font_licen[cs]e", r"scripts\.sil\.org/ofl"),
-    ("PSF-2.0", "python software", r"python_software_foundation_licen[cs]e", r"docs\.python\.org/3/license"),
+    ("CC-BY-3.0", "creative", r"creative_commons_attribution_3\.0", r"creativecommons\.org/licenses/by/3\.0"),
+    ("CC-BY-4.0", "creative", r"creative_commons_attribution_4\.0", r"creativecommons\.org/licenses/by/4\.0"),
+    ("CC-BY-SA", "creative", r"creative_commons_attribution_share_?alike", r"creativecommons\.org/licenses/by-sa"),
+    ("CC-BY-NC", "creative", r"creative_commons_attribution_non_?commercial", r"creativecommons\.org/licenses/by-nc"),
+    ("CC-BY-ND", "creative", r"creative_commons_attribution_no_?derivatives", r"creativecommons\.org/licenses/by-nd"),
+    ("CC-BY", "creative", r"creative_commons_attribution", r"creativecommons\.org/licenses/by/"),
+    ("ODbL-1.0", "database", r"open_database_licen[cs]e", r"opendatacommons\.org/licenses/odbl"),
+    ("ODC-By-1.0", "commons", r"open_data_commons_attribution_licen[cs]e", r"opendatacommons\.org/licenses/by"),
+    ("PDDL-1.0", "dedication", r"public_domain_dedication_and_licen[cs]e", r"opendatacommons\.org/licenses/pddl"),
+    ("OFL-1.1", "font", r"(?:sil_)?open_font_licen[cs]e", r"scripts\.sil\.org/ofl"),
+    ("PSF-2.0", "python", r"python_software_foundation_licen[cs]e", r"docs\.python\.org/3/license"),
     ("PHP-3.01", "php", r"php_licen[cs]e", r"php\.net/license"),
     ("Ruby", "ruby", r"ruby_licen[cs]e", r"ruby-lang\.org/en/about/license"),
     ("PostgreSQL", "postgresql", r"postgresql_licen[cs]e", r"postgresql\.org/about/licen[cs]e"),
@@ -96,15 +97,15 @@ FAMILIES = (
     ("CECILL-2.1", "cecill", r"cecill(?:_free_software)?_licen[cs]e", r"cecill\.info/licences"),
     ("Beerware", "beer", r"beer_?ware_licen[cs]e", r"spdx\.org/licenses/beerware"),
     ("JSON", "json", r"json_licen[cs]e", r"json\.org/license"),
-    ("UPL-1.0", "universal permissive", r"universal_permissive_licen[cs]e", r"opensource\.org/licenses?/upl"),
+    ("UPL-1.0", "permissive", r"universal_permissive_licen[cs]e", r"opensource\.org/licenses?/upl"),
     ("MulanPSL-2.0", "mulan", r"mulan_permissive_software_licen[cs]e", r"license\.coscl\.org\.cn/mulanpsl2"),
 )
 #: Rules of their own: label, keyword, regex, priority.
 OTHERS = (
-    ("all-rights-reserved", "all rights reserved", r"\ball\s+rights\s+reserved\b", 30),
-    ("public-domain", "public domain", r"\b(?:placed\s+in|in|dedicated\s+to)\s+the\s+public\s+domain\b", 40),
+    ("all-rights-reserved", "reserved", r"\ball\s+rights\s+reserved\b", 30),
+    ("public-domain", "domain", r"\b(?:placed\s+in|in|dedicated\s+to)\s+the\s+public\s+domain\b", 40),
     ("copyright", "copyright", r"\bcopyright\s+(?:\(c\)|©)?\s*(?:19|20)\d\d\b", 20),
-    ("copyright", "copyright", r"©\s*(?:19|20)\d\d\b", 20),
+    ("copyright", "©", r"©\s*(?:19|20)\d\d\b", 20),
     ("proprietary", "proprietary", r"\bproprietary\s+licen[cs]e\b", 50),
 )
 #: Priorities of the templates; a detection's confidence is its priority in hundredths.
