@@ -21,8 +21,8 @@ from gleanspark.llm.common import ascii_lower
 TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Base phrases, as words, and their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
-#: No rule matches a text without one of these.
-GATES = ("licen", "spdx", "copyright", "public domain", "all rights reserved", "creative commons")
+#: No rule matches a text without one of these: each rule's regex holds one in a run of literals (links: "http").
+GATES = ("licen", "http", "copyright", "©", "domain", "reserved", "creative", "attribution", "cc0")
 
 #: label, keyword, name pattern, link pattern. Names are matched in lower-cased text; "_" stands for white space or a hyphen.
 #: Every match of the name holds the keyword, which is within one word, as words may be parted by a line break or a hyphen.

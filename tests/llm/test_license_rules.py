@@ -27,7 +27,7 @@ def needs(node, word):
 
 
 def example(node, space):
-    """A text that a parsed regex matches: the first alternatives, nothing optional, and the given white space."""
+    """A text that a parsed regex matches: the first alternatives, nothing optional, and the given space between words of a name."""
     out = ""
     for op, arg in node:
         if op is ops.LITERAL:
@@ -40,7 +40,7 @@ def example(node, space):
             out += example(arg[2], space) * arg[0]
         elif op is ops.IN:
             first = arg[0]
-            out += space if first == (ops.CATEGORY, ops.CATEGORY_SPACE) else "0" if first[0] is ops.CATEGORY else chr(first[1])
+            out += (space if len(arg) > 1 else "\n") if first == (ops.CATEGORY, ops.CATEGORY_SPACE) else "0" if first[0] is ops.CATEGORY else chr(first[1])
     return out
 
 
@@ -75,3 +75,21 @@ GATED = [
 def test_wrapped_and_hyphenated_notices(spark):
     got = same(spark, GATED)
     assert [got[i]["labels"] for i in (0, 1, 2)] == ["GPL-2.0,gpl", "MIT-0", "LGPL,gpl"]
+
+
+def test_every_rule_holds_a_gate():
+    assert [(label, rx) for label, _, rx, _ in licenses.rules() if not any(needs(_parser.parse(rx), g) for g in licenses.GATES)] == []
+
+
+UNGATED = [
+    "released under cc0 1.0 universal", "see http://mozilla.org/MPL", "https://www.eclipse.org/legal/epl-v10", "http://www.gnu.org/copyleft/gpl", "https://creativecommons.org/publicdomain/zero/1.0",
+    "http://scripts.sil.org/OFL", "http://www.wtfpl.net", "https://mariadb.com/bsl11", "\u00a9 2020", "in the public\ndomain", "all rights\nreserved", "Creative\nCommons Attribution",
+]
+
+
+@pytest.mark.parametrize("space", ["\n", "-"])
+def test_each_rule_alone(spark, space):
+    texts = [example(_parser.parse(rx), space) for _, _, rx, _ in licenses.rules()]
+    assert all(re.fullmatch(rx, text) for (_, _, rx, _), text in zip(licenses.rules(), texts, strict=True))
+    got = same(spark, texts + UNGATED)
+    assert all(r["score"] > 0 for r in got.values())
