@@ -4,7 +4,8 @@ Subwords are byte 3-grams and 4-grams of the text with ASCII non-letters as spac
 lower-cased. A text's vector is the mean of its subwords' embeddings. Probabilities are
 calibrated by a temperature fitted on a fifth of the sample that training leaves out; a text is rejected
 if it is null or has no letter, or if its score is below a bound under which at most
-``REJECT_SHARE`` of that fifth lies, and never above ``REJECT_CHANCE`` times the score of a blind guess.
+``REJECT_SHARE`` of that fifth lies. A fifth of under ``REJECT_PIECES`` pieces says little of its lowest scores, so then
+the bound is ``REJECT_CHANCE`` times the score of a blind guess at most.
 
 Training reads at most ``max_docs`` labelled documents, those with the smallest seeded hash; rows that repeat a doc_id
 count once, with the least text. It uses each whole text and two windows of it. Prediction reads every whole text. As the mean and the softmax's
@@ -27,6 +28,7 @@ LOG_BUCKETS, DIM, EPOCHS, RATE = 16, 16, 4, 2.0
 MAX_DOCS = 2000
 WINDOWS = (40, 200)
 REJECT_SHARE, REJECT_CHANCE = 0.0005, 1.2
+REJECT_PIECES = 400
 #: Positions handled at once by an executor: bounds its memory however long a text is.
 BLOCK = 1 << 20
 
@@ -131,7 +133,8 @@ def _calibrated(model: Model, held: list, no: dict[str, int]) -> Model:
         best = min(best, (-np.log(np.maximum(p, 1e-12)).mean(), float(model.temperature)))
     model.temperature = best[1]
     top = model.probabilities(total, n).max(axis=1)
-    model.reject_below = float(min(REJECT_CHANCE / len(no), np.quantile(top, REJECT_SHARE)))
+    bound = np.quantile(top, REJECT_SHARE)
+    model.reject_below = float(bound if len(held) >= REJECT_PIECES else min(REJECT_CHANCE / len(no), bound))
     return model
 
 
