@@ -4,7 +4,7 @@ Documents are counted by exact size in words. Sources, sorted by code point with
 the given weights in turn and share the budget; a target stops at ``max_repeat`` times its
 source's size and the excess is reshared by weight. Within a source, whole passes come first. The
 remaining budget takes an even share of every size, then a bounded-knapsack dynamic
-program over the sizes left fits the remainder. Of each size the documents with the smallest
+program over the sizes left fits the remainder, an eighth of the budget or more where that fits better. Of each size the documents with the smallest
 seeded hash of doc_id are selected, so reruns agree.
 
 Null text: size 0. Documents of size 0 are never selected beyond whole passes (they take no words). Rows
@@ -14,6 +14,8 @@ hashes like any value. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 
 from gleanspark.llm.common import WORD, scratch, without
 
-#: Words that the even shares and the greedy step leave for the dynamic program; it fits a smaller budget alone.
+#: The most words that the even shares and the greedy step leave for the dynamic program.
 DP_WORDS = 1 << 16
 #: Hash ranges within a size: a hot size is ranked in so many parts.
 RANGES = 256
@@ -49,16 +51,42 @@ def targets(sizes: list[int], weights: tuple[float, ...], share: float, max_repe
     return out
 
 
-def fit_subset(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many items of each length to take so that their sum comes nearest to ``budget`` from below."""
+def even_share(lengths: np.ndarray, counts: np.ndarray, words: int) -> np.ndarray:
+    """How many items of each length make ``words`` at one rate for all; what rounding takes from a length goes to the next longer one."""
+    order = np.argsort(lengths, kind="stable")
     total = int((lengths * counts).sum())
+    ends = [n * words // total for n in accumulate(np.where(lengths > 0, counts, 0)[order].tolist())]
     take = np.zeros_like(counts)
-    if budget >= total:
+    take[order] = np.diff([0, *ends])
+    return take
+
+
+def fit_subset(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """How many items of each length to take so that their sum comes near to ``budget`` from below; nearest, if the program alone can take the budget."""
+    if budget >= int((lengths * counts).sum()):
         return counts.copy()
+    none = np.zeros_like(counts)
     if budget <= 0:
-        return take
-    if budget > DP_WORDS:
-        take = np.array([int(c) * (budget - DP_WORDS) // total for c in counts], dtype=np.int64)
+        return none
+    best = whole = _filled(lengths, counts, none, budget) if budget <= DP_WORDS else None
+    goal = int((whole * lengths).sum()) if whole is not None else budget
+    nearest, reserve = -1, min(DP_WORDS, budget) // 8
+    # leave more to the program until it fits as well as it can
+    while reserve < budget and nearest < goal and (nearest < 0 or reserve <= DP_WORDS):
+        take = even_share(lengths, counts, budget - reserve)
+        if int((take * lengths).sum()) <= budget:
+            take = _filled(lengths, counts, take, budget)
+            if (total := int((take * lengths).sum())) > nearest:
+                nearest, best = total, take
+        reserve = max(1, 2 * reserve)
+    if whole is not None and nearest < goal:
+        return whole
+    return best if best is not None else _filled(lengths, counts, none, budget)
+
+
+def _filled(lengths: np.ndarray, counts: np.ndarray, take: np.ndarray, budget: int) -> np.ndarray:
+    """``take`` and what the dynamic program adds to it."""
+    take = take.copy()
     left = budget - int((take * lengths).sum())
     for i in np.argsort(-lengths, kind="stable"):  # greedy down to what the program takes
         if lengths[i] > 0 and left > DP_WORDS:
@@ -72,6 +100,7 @@ def fit_subset(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
             items.append((i, min(part, n)))
             n -= part
             part *= 2
+    items = [items[k] for k in np.random.default_rng(len(items)).permutation(len(items))]  # no length comes first
     reach, parent = np.zeros(left + 1, dtype=bool), np.full(left + 1, -1, dtype=np.int64)
     reach[0] = True
     for k, (i, n) in enumerate(items):
