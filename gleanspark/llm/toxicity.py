@@ -1,14 +1,15 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier.
 
-Voters: a fixed lexicon, words and word beginnings that a bounded sample of labelled documents ties to toxic
-texts, and patterns of style. The label model takes votes as drawn given a hidden label: EM
-estimates each voter's rates under both labels, and the correlation of voters' residuals discounts those that
-repeat each other. A logistic classifier over votes, vote counts and style is trained on the posterior labels.
+Voters: a fixed lexicon; words, word beginnings and dense beginnings (one word in a hundred starts so) that a bounded sample of labelled documents
+ties to toxic texts; patterns of style; and silence, when no term votes. Labels choose these candidate terms and give the balance of both classes, nothing else: they
+don't vote, nor does the label model see them. It takes votes as drawn given a hidden label: EM, started from how many terms vote, estimates each voter's rates
+under both labels from the voters' agreement alone, and the correlation of voters' residuals discounts those that repeat each other. A logistic classifier over
+votes, vote counts and style is trained on the posterior labels.
 
 Training reads at most ``max_docs`` labelled documents, those with the smallest seeded hash of doc_id; rows that repeat one of these ids count once,
 with the least text, and so do near copies among them. Scoring reads every whole text. Null and empty texts have no votes and
-score by the intercept alone. An empty table gives an empty result. Without any labelled row only the lexicon and the patterns vote, and
-the lexicon's votes serve as labels.
+score by the intercept alone. An empty table gives an empty result. Without any labelled row only the lexicon and the patterns vote. Columns of ``docs``
+other than id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,25 +37,35 @@ crétin imbécile connard salaud ordure débile pourriture minable
 imbécil estúpido estúpida basura asqueroso asquerosa inútil tonto payaso escoria
 """.split()
 MAX_DOCS = 8000
-#: A word ("=") or beginning ("^") is a voter if so many distinct toxic documents of the sample have it, and at most one clean one for each PURITY of them.
-SUPPORT, PURITY, MAX_LEARNED = {"=": 3, "^": 6}, {"=": 6, "^": 20}, 400
+#: A word ("="), beginning ("^") or dense beginning ("+") is a voter if so many distinct toxic documents of the sample have it, and at most one clean one for
+#: each PURITY of them.
+SUPPORT, PURITY, MAX_LEARNED = {"=": 3, "^": 6, "+": 3}, {"=": 6, "^": 20, "+": 6}, 400
 BEGINNINGS = (4, 5, 6, 7)
-STYLE = ("shouting", "bangs", "symbols")
+#: A beginning is dense in a text if at least two words, and one in so many, start so.
+DENSE = 100
+#: Pattern voters; the last holds if words that begin like a term are dense.
+STYLE = ("shouting", "bangs", "symbols", "dense terms")
 WORDS = re.compile(r"[^\W\d_]+")
+POOLED = 30
 #: Correlations below are taken for noise.
 NOISE = 0.2
 
 
 def style_of(text: str) -> list[bool]:
-    """The pattern voters: shouting, doubled exclamation marks, strings of symbols."""
+    """Pattern voters that need no term: shouting, doubled exclamation marks, strings of symbols."""
     raw = np.frombuffer(text.encode(), dtype=np.uint8)
     upper = int(((raw >= 65) & (raw <= 90)).sum())
     lower = int(((raw >= 97) & (raw <= 122)).sum())
     return [upper > 20 and upper > lower, text.count("!!") >= 3, sum(text.count(x) for x in ("***", "$$$", "%%%", "###")) >= 3]
 
 
+def n_words(text: str) -> int:
+    """Words of a text, near enough for densities: white space is counted, not split at."""
+    return text.count(" ") + text.count("\n") + 1
+
+
 class Voters:
-    """Finds words (kind "="), word beginnings ("^") in whole texts by one automaton."""
+    """Finds words (kind "="), word beginnings ("^") and dense beginnings ("+") in whole texts by one automaton."""
 
     def __init__(self, terms: list[tuple[str, str]]) -> None:
         self.terms, self.automaton = terms, ahocorasick.Automaton()
@@ -65,16 +76,19 @@ class Voters:
             self.automaton.add_word(term, (len(term), uses))
         self.automaton.make_automaton()
 
-    def counts(self, text: str) -> dict[int, int]:
-        low, out = text.lower(), Counter()
+    def counts(self, text: str) -> tuple[dict[int, int], int, bool]:
+        """(how often each term that votes occurs, words that a term begins, whether these are dense)."""
+        low, out, starts = text.lower(), Counter(), set()
         for end, (n, uses) in self.automaton.iter(low):
             if (start := end - n + 1) and low[start - 1].isalpha():
                 continue
+            longer = end + 1 < len(low) and low[end + 1].isalpha()
             for k, kind in uses:
-                longer = end + 1 < len(low) and low[end + 1].isalpha()
-                if kind == "^" or not longer:
+                if kind != "=" or not longer:
                     out[k] += 1
-        return out
+                    starts.add(start)
+        least = max(2, -(-n_words(low) // DENSE))
+        return {k: n for k, n in out.items() if self.terms[k][0] != "+" or n >= least}, len(starts), len(starts) >= least
 
 
 @dataclass
@@ -86,10 +100,10 @@ class Model:
 def _features(voters: Voters, text: str) -> np.ndarray:
     m = len(voters.terms)
     x = np.zeros(m + len(STYLE) + 2)
-    found = voters.counts(text)
+    found, words, dense = voters.counts(text)
     x[list(found)] = 1
-    x[m : m + len(STYLE)] = style_of(text)
-    x[-2] = np.log1p(sum(found.values()))
+    x[m : m + len(STYLE)] = [*style_of(text), dense]
+    x[-2] = np.log1p(words)
     x[-1] = 1
     return x
 
@@ -107,35 +121,49 @@ def distinct_texts(texts: list[str], bits: int = 8) -> list[int]:
 
 
 def learned_terms(texts: list[str], toxic: list[int]) -> list[tuple[str, str]]:
-    """Words and beginnings that enough toxic and few enough clean texts have; of beginnings in the same texts, the longest."""
+    """Terms that enough toxic and few enough clean texts have; of terms in the same texts, one: rather a word, else the longest."""
     hits: dict[tuple[str, str], list[int]] = defaultdict(list)
     clean: Counter = Counter()
-    found = [{w for w in WORDS.findall(text.lower()) if len(w) > 2} for text in texts]
-    for i, words in enumerate(found):
-        if toxic[i]:
-            for t in {("=", w) for w in words} | {("^", w[:n]) for w in words for n in BEGINNINGS if len(w) >= n}:
-                hits[t].append(i)
+    found = [Counter(w for w in WORDS.findall(text.lower()) if len(w) > 2) for text in texts]
+    least = [max(2, -(-n_words(text) // DENSE)) for text in texts]
+
+    def begun(i: int, among=None) -> Counter:
+        """How many words of a text have each beginning."""
+        out: Counter = Counter()
+        for w, n in found[i].items():
+            for k in BEGINNINGS:
+                if len(w) >= k and (among is None or w[:k] in among):
+                    out[w[:k]] += n
+        return out
+
+    for i in np.nonzero(toxic)[0].tolist():
+        for w in found[i]:
+            hits["=", w].append(i)
+        for w, n in begun(i).items():
+            hits["^", w].append(i)
+            if n >= least[i]:
+                hits["+", w].append(i)
     hits = {t: at for t, at in hits.items() if len(at) >= SUPPORT[t[0]]}
-    begin = {term for kind, term in hits if kind == "^"}
-    for i, words in enumerate(found):
-        if not toxic[i]:
-            clean.update(("=", w) for w in words if ("=", w) in hits)
-            clean.update({("^", w[:n]) for w in words for n in BEGINNINGS if w[:n] in begin and len(w) >= n})
-    good = sorted((t for t, at in hits.items() if clean[t] * PURITY[t[0]] <= len(at)), key=lambda t: (t[0], len(t[1]), t[1]))
-    beginnings = {tuple(hits[t]): t for t in good if t[0] == "^"}
-    chosen = [t for t in good if t[0] == "="] + list(beginnings.values())
-    return sorted(chosen, key=lambda t: (-len(hits[t]), t))[:MAX_LEARNED]
-
-
-def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    begin = {term for kind, term in hits if kind != "="}
+    for i in np.nonzero(np.array(toxic) == 0)[0].tolist():
+        clean.update(("=", w) for w in found[i] if ("=", w) in hits)
+        for w, n in begun(i, begin).items():
+            clean.update([("^", w), ("+", w)] if n >= least[i] else [("^", w)])
+    good = [t for t, at in hits.items() if clean[t] * PURITY[t[0]] <= len(at)]
+    alike = {tuple(hits[t]): t for t in sorted(good, key=lambda t: ("^+=".index(t[0]), len(t[1]), t[1]))}
+    return sorted(alike.values(), key=lambda t: (-len(hits[t]), t))[:MAX_LEARNED]
+
+
+def label_model(votes: np.ndarray, start: np.ndarray, balance: float | None = None, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(posterior of label 1, rates under both labels, discounts) of votes, by EM from ``start``.
 
-    A voter that does not fire abstains: terms of one language say nothing about texts in another. The balance of labels is that of ``start``.
+    A voter that does not fire abstains: terms of one language say nothing about texts in another. ``balance`` is the share of label 1 (none: that of ``start``). Rates of
+    rare voters lean towards the mean of all voters (POOLED documents' worth of it).
     """
     q = np.clip(start.astype(float), 0.02, 0.98)
-    prior = np.clip(q.mean(), 0.01, 0.99)
+    prior = np.clip(q.mean() if balance is None else balance, 0.01, 0.99)
     for _ in range(rounds):
-        rates = np.stack([((1 - q) @ votes + 0.5) / ((1 - q).sum() + 1), (q @ votes + 0.5) / (q.sum() + 1)])
+        rates = np.stack([_rates(1 - q, votes), _rates(q, votes)])
         expected = q[:, None] * rates[1] + (1 - q)[:, None] * rates[0]
         residual = votes - expected
         norm = np.sqrt((residual**2).sum(axis=0) + 1e-9)
@@ -148,6 +176,12 @@ def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 30) -> tuple
     return q, rates, discount
 
 
+def _rates(q: np.ndarray, votes: np.ndarray) -> np.ndarray:
+    """How often each voter fires among documents of weights ``q``."""
+    fires, n = q @ votes, q.sum()
+    return (fires + POOLED * max(fires.mean(), 0.01) / max(n, 1.0)) / (n + POOLED)
+
+
 def fit_linear(x: np.ndarray, q: np.ndarray, rounds: int = 15, ridge: float = 0.2) -> np.ndarray:
     """Ridge logistic regression on soft labels by Newton steps; the last feature, the intercept, is not shrunk."""
     w, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
@@ -178,15 +212,22 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
         w[:m], w[-1] = 3.0, -3.0
         return Model(voters.terms, w)
     x = np.array([_features(voters, t) for t in texts])
-    quiet = ~x[:, :m].any(axis=1)  # a voter too: no term fires
-    known_toxic = np.array(toxic, dtype=bool)  # the sample's labels vote as well, either way
-    votes = np.hstack([x[:, :m], x[:, m : m + len(STYLE)], quiet[:, None], known_toxic[:, None], ~known_toxic[:, None]])
+    votes = votes_of(x, m)
     used = votes.any(axis=0)
-    start = np.maximum(np.array(toxic, dtype=float), 0) if any(toxic) else x[:, :m].max(axis=1)
-    q, _, _ = label_model(votes[:, used], start)
+    q, _, _ = label_model(votes[:, used], start_of(x, m), float(np.mean(toxic)) if any(toxic) else 0.1)
     return Model(voters.terms, fit_linear(x, q))
 
 
+def votes_of(x: np.ndarray, m: int) -> np.ndarray:
+    """Votes of the ``m`` terms, the patterns of style, and silence."""
+    return np.hstack([x[:, : m + len(STYLE)], ~x[:, :m].any(axis=1)[:, None]])
+
+
+def start_of(x: np.ndarray, m: int) -> np.ndarray:
+    """Where EM starts: no term 0, one 1/2, more 1."""
+    return np.minimum(x[:, :m].sum(axis=1), 2) / 2
+
+
 def score(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, score (0 to 1) and votes (how many terms vote) of every document."""
     terms, weights = model.terms, model.weights
