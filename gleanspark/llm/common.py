@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
+from types import ModuleType
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,11 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _local_dir: list[str] = []
 
 
+def worker_cache() -> dict:
+    """A dict that lives as long as the process. Functions travel to workers by value, so their module's globals live for one task only."""
+    return vars(sys.modules.setdefault("_gleanspark_worker", ModuleType("_gleanspark_worker")))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

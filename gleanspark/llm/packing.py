@@ -2,7 +2,7 @@
 
 Each document's token ids plus an end id form one piece, or, if longer than a sequence, pieces of full
 length of which the first may be shorter. Sequences have three capacities: tokens,
-documents and attention cost (sum of squared lengths). Pieces go from the longest to the shortest, each into the sequence
+documents and attention cost (tiles of scores that attention within pieces touches). Pieces go from the longest to the shortest, each into the sequence
 that leaves the least weighted residual norm (``score="norm"``) or has the greatest weighted dot product of demand and
 residual (``score="dot"``) under every constraint. Pieces of one length are alike, so the plan
 works on counts by length and on runs of like sequences: its size depends on the sequence length
@@ -28,16 +28,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanspark.llm.common import scratch
+from gleanspark.llm.common import scratch, worker_cache
 
 #: Pieces of one length that are numbered in one task.
 RANGE_ROWS = 2000
+#: For sequences of 1024 tokens: at most 64 documents; in tiles of 64 x 64 scores, what one piece of full length touches (256) and one tile; both count a fifth of
+#: what free tokens do.
+VECTOR = {"max_docs": 64, "max_cost": 257, "tile": 64, "weights": (1.0, 0.2, 0.2)}
 #: Only for texts within these code points are both tokenizers' character classes surely alike.
 OTHER = re.compile("[^\t-\r\x20-\x7e\xa0-ɏ‐-…]")
 
 
+#: Longer runs of white space exceed the stack of the fast library's regex.
+SPACES = re.compile(r"\s{5000}")
+
+
 def byte_bpe(json_path: str, ranks_path: str | None, pattern: str | None) -> Callable[[str], np.ndarray]:
-    """text -> ids (uint32), by the ``tokenizers`` file; texts in Latin script by the rank file of the same vocabulary, if given."""
+    """text -> ids (uint32), by the ``tokenizers`` file; texts in Latin script by the rank file of the same vocabulary, if given.
+
+    The fast library gives up on very long runs; such texts go through the ``tokenizers`` file too.
+    """
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(json_path)
@@ -50,17 +60,24 @@ def byte_bpe(json_path: str, ranks_path: str | None, pattern: str | None) -> Cal
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: whole(text) if OTHER.search(text) else fast.encode_to_numpy(text, disallowed_special=()).astype(np.uint32)
 
+    def encode(text: str) -> np.ndarray:
+        if not OTHER.search(text) and not SPACES.search(text):
+            try:
+                return fast.encode_to_numpy(text, disallowed_special=()).astype(np.uint32)
+            except ValueError:
+                pass
+        return whole(text)
 
-_encoders: dict[tuple, Callable[[str], np.ndarray]] = {}
+    return encode
 
 
 def encoder(*paths: str | None) -> Callable[[str], np.ndarray]:
-    """One encoder a worker process."""
-    if paths not in _encoders:
-        _encoders[paths] = byte_bpe(*paths)
-    return _encoders[paths]
+    """One encoder a worker process, for all its tasks."""
+    cache = worker_cache()
+    if ("byte_bpe", *paths) not in cache:
+        cache["byte_bpe", *paths] = byte_bpe(*paths)
+    return cache["byte_bpe", *paths]
 
 
 def pieces(docs: DataFrame, *, tokenizer: tuple, capacity: int, end_id: int, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
@@ -90,6 +107,11 @@ def pieces(docs: DataFrame, *, tokenizer: tuple, capacity: int, end_id: int, doc
     return docs.select(F.col(doc_id), F.col(text)).mapInArrow(run, T.StructType(fields))
 
 
+def attention_cost(length: int, tile: int) -> int:
+    """Tiles of ``tile`` x ``tile`` scores that a piece's attention touches: however short, a piece takes whole tiles."""
+    return (-(-length // tile)) ** 2
+
+
 class Runs:
     """Runs of like sequences: residual capacities, number and first sequence id of each."""
 
@@ -118,12 +140,12 @@ class Runs:
         return out
 
 
-def plan(counts: dict[int, int], *, capacity: int, max_docs: int, max_cost: int, weights: tuple = (1.0, 0.0, 0.0), score: str = "norm") -> list[tuple[int, int, int, int, int]]:
+def plan(counts: dict[int, int], *, capacity: int, max_docs: int, max_cost: int, tile: int = 1, weights: tuple = (1.0, 0.0, 0.0), score: str = "norm") -> list[tuple[int, int, int, int, int]]:
     """Places as (length, first rank, number, first sequence id, offset): piece rank r + i goes to sequence s + i."""
     limits = np.array([capacity, max_docs, max_cost], dtype=np.int64)
     runs, places, sequences = Runs(limits, np.array(weights), score), [], 0
     for length in sorted(counts, reverse=True):
-        rank, left, demand = 0, counts[length], np.array([length, 1, length * length], dtype=np.int64)
+        rank, left, demand = 0, counts[length], np.array([length, 1, attention_cost(length, tile)], dtype=np.int64)
         while left:
             k = runs.best(demand)
             if k is None:
@@ -153,12 +175,13 @@ def plan(counts: dict[int, int], *, capacity: int, max_docs: int, max_cost: int,
     return places
 
 
-def pack(docs: DataFrame, *, tokenizer: tuple, capacity: int = 1024, max_docs: int | None = None, max_cost: int | None = None, weights: tuple = (1.0, 0.0, 0.0), score: str = "norm", end_id: int = 2, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
-    """Every piece with its sequence_id and offset. By default the document and cost capacities are those that a full sequence can't exceed."""
+def pack(docs: DataFrame, *, tokenizer: tuple, capacity: int = 1024, max_docs: int | None = None, max_cost: int | None = None, tile: int = 1, weights: tuple = (1.0, 0.0, 0.0), score: str = "norm", end_id: int = 2, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
+    """Every piece with its sequence_id and offset. By default the document and cost capacities are those that a full sequence can't exceed, and
+    choose nothing; :data:`VECTOR` are capacities and weights for sequences of 1024 tokens."""
     spark = docs.sparkSession
     cut = scratch(pieces(docs, tokenizer=tokenizer, capacity=capacity, end_id=end_id, doc_id=doc_id, text=text, with_ids=with_ids))
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    places = plan(counts, capacity=capacity, max_docs=max_docs or capacity, max_cost=max_cost or capacity * capacity, weights=weights, score=score)
+    places = plan(counts, capacity=capacity, max_docs=max_docs or capacity, max_cost=max_cost or capacity * capacity, tile=tile, weights=weights, score=score)
     table = spark.createDataFrame(places, "length long, rank long, number long, first long, at long")
     # Number the pieces of each length: ranges by hash, then within a range, so that a common length is many tasks.
     ranges = max(1, sum(counts.values()) // RANGE_ROWS)

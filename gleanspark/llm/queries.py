@@ -49,7 +49,7 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer=default_tokenizer(), capacity=1024, end_id=2)
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer=default_tokenizer(), capacity=1024, end_id=2, **packing.VECTOR)
 
 
 def _captures(pages: DataFrame) -> DataFrame:
