@@ -2,7 +2,8 @@
 
 Subwords are byte 3-grams and 4-grams of the text with ASCII non-letters as spaces and A-Z
 lower-cased. A text's vector is the mean of its subwords' embeddings. Probabilities are
-calibrated by a temperature fitted on a fifth of the sample that training leaves out; a text is rejected
+calibrated by a temperature fitted on a fifth of the sample that training leaves out. The score is the best class's probability times the share of the
+text's subwords that training has seen, so that it falls for what is in no learnt language, whichever class it resembles. A text is rejected
 if it is null or has no letter, or if its score is below a bound under which at most
 ``REJECT_SHARE`` of that fifth lies. A fifth of under ``REJECT_PIECES`` pieces says little of its lowest scores, so then
 the bound is ``REJECT_CHANCE`` times the score of a blind guess at most.
@@ -10,7 +11,8 @@ the bound is ``REJECT_CHANCE`` times the score of a blind guess at most.
 Training reads at most ``max_docs`` labelled documents, those with the smallest seeded hash; rows that repeat a doc_id
 count once, with the least text. It uses each whole text and two windows of it. Prediction reads every whole text. As the mean and the softmax's
 input are linear, executors add up one row of class scores a subword. Null text or no letter: `und`, score 0.
-An empty table gives an empty result. Without any labelled row all texts are `und`.
+Ties between classes go to the label that sorts first; repeated rows get equal results. An empty table gives an empty result. Without any labelled row all texts
+are `und`. Input columns named like an output are replaced by it; the text crosses to Python once, whether it is carried or not.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ WINDOWS = (40, 200)
 REJECT_SHARE, REJECT_CHANCE = 0.0005, 1.2
 REJECT_PIECES = 400
 #: Positions handled at once by an executor: bounds its memory however long a text is.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 _letters = np.full(256, 32, dtype=np.uint8)
 _letters[97:123] = np.arange(97, 123)
@@ -60,16 +62,21 @@ def subwords(raw: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 @dataclass
 class Model:
     labels: list[str]
-    table: np.ndarray  # class scores of each bucket
+    table: np.ndarray  # class scores of each bucket, and whether training has seen it
     bias: np.ndarray
     temperature: float
     reject_below: float
 
     def probabilities(self, total: np.ndarray, n: np.ndarray) -> np.ndarray:
-        z = (total / np.maximum(n, 1)[:, None] + self.bias) / self.temperature
+        z = (total[:, : len(self.labels)] / np.maximum(n, 1)[:, None] + self.bias) / self.temperature
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
+    def scores(self, total: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(best class, score) of texts with these sums of the table's rows and numbers of subwords."""
+        p = self.probabilities(total, n)
+        return p.argmax(axis=1), p.max(axis=1) * total[:, -1] / np.maximum(n, 1)
+
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Whole text and windows of each document as (label, h, ids, counts)."""
@@ -95,7 +102,7 @@ def train(labelled: DataFrame, *, doc_id: str = "doc_id", text: str = "text", la
     keyed = labelled.where(F.col(label).isNotNull()).select(F.col(text).alias("text"), F.col(label).cast("string").alias("label"), F.xxhash64(F.lit(seed), doc_id).alias("h"))
     last = keyed.select("h").distinct().orderBy("h").limit(max_docs).agg(F.max("h")).first()[0]
     if last is None:
-        return Model([], np.zeros((1, 0)), np.zeros(0), 1.0, 1.0)
+        return Model([], np.zeros((1, 1)), np.zeros(0), 1.0, 1.0)
     one = keyed.where(F.col("h") <= last).groupBy("h").agg(F.min(F.struct("text", "label")).alias("d")).select("d.text", "d.label", "h")
     sample = one.mapInArrow(_features, "label string, h long, ids array<int>, counts array<int>").toArrow()
     data = sorted(zip(*(sample.column(i).to_pylist() for i in (1, 0)), (np.array(x) for x in sample.column(2).to_pylist()), (np.array(x, dtype=np.float32) for x in sample.column(3).to_pylist()), strict=True), key=lambda x: (x[0], len(x[2])))
@@ -120,20 +127,22 @@ def train(labelled: DataFrame, *, doc_id: str = "doc_id", text: str = "text", la
             out -= rate * np.outer(x, g)
             bias -= rate * np.float32(0.1) * g
             emb[ids] -= rate * np.outer(share, back)
-    model = Model(labels, (emb @ out).astype(np.float32), bias, 1.0, 0.0)
+    seen = np.zeros((1 << LOG_BUCKETS, 1), dtype=np.float32)
+    for _, _, ids, _ in fit:
+        seen[ids] = 1
+    model = Model(labels, np.hstack([emb @ out, seen]).astype(np.float32), bias, 1.0, 0.0)
     return _calibrated(model, held or fit, no)
 
 
 def _calibrated(model: Model, held: list, no: dict[str, int]) -> Model:
-    total = np.array([counts @ model.table[ids] for _, _, ids, counts in held], dtype=np.float64).reshape(len(held), len(no))
+    total = np.array([counts @ model.table[ids] for _, _, ids, counts in held], dtype=np.float64).reshape(len(held), len(no) + 1)
     n, y = np.array([x[3].sum() for x in held]), np.array([no[x[1]] for x in held])
     best = (np.inf, 1.0)
     for model.temperature in np.geomspace(0.05, 20, 60):
         p = model.probabilities(total, n)[np.arange(len(held)), y]
         best = min(best, (-np.log(np.maximum(p, 1e-12)).mean(), float(model.temperature)))
     model.temperature = best[1]
-    top = model.probabilities(total, n).max(axis=1)
-    bound = np.quantile(top, REJECT_SHARE)
+    bound = np.quantile(model.scores(total, n)[1], REJECT_SHARE)
     model.reject_below = float(bound if len(held) >= REJECT_PIECES else min(REJECT_CHANCE / len(no), bound))
     return model
 
@@ -148,8 +157,8 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sums(model: Model, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Class scores and number of subwords of the texts between the offsets, in blocks that may cut long texts."""
-    total, n = np.zeros((len(at) - 1, len(model.labels))), np.zeros(len(at) - 1, dtype=np.int64)
+    """Sums of the table's rows and number of subwords of the texts between the offsets, in blocks that may cut long texts."""
+    total, n = np.zeros((len(at) - 1, len(model.labels) + 1)), np.zeros(len(at) - 1, dtype=np.int64)
     for lo in range(int(at[0]), int(at[-1]), BLOCK):
         hi = min(lo + BLOCK, int(at[-1]))
         for k, (pos, bucket) in enumerate(subwords(raw[lo : min(hi + 3, int(at[-1]))])):
@@ -167,27 +176,30 @@ def predict(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str
     """Each document with lang_pred, score and rejected; ``keep``: input columns to carry (default: the id)."""
     keep = keep or [doc_id]
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    # the text comes first and only once; where it is carried, its column goes back as it came
+    sent = [text, *(c for c in keep if c != text)]
+    back = [sent.index(c) for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(**shared.value)
+        names = np.array([*m.labels, "und"], dtype=object)
         for batch in batches:
             raw, at = text_bytes(batch.column(0))
-            letter = batch.column(1).fill_null(False).to_numpy(zero_copy_only=False)
+            letter = batch.column(batch.num_columns - 1).fill_null(False).to_numpy(zero_copy_only=False)
             if m.labels:
-                p = m.probabilities(*sums(m, raw, at))
+                top, score = m.scores(*sums(m, raw, at))
             else:
-                p, letter = np.ones((batch.num_rows, 1)), np.zeros(batch.num_rows, dtype=bool)
-            top = p.argmax(axis=1)
-            score = np.where(letter, p.max(axis=1), 0.0)
-            names = np.array([*m.labels, "und"], dtype=object)
+                top, score, letter = np.zeros(batch.num_rows, dtype=np.int64), np.zeros(batch.num_rows), np.zeros(batch.num_rows, dtype=bool)
+            score = np.where(letter, score, 0.0)
             pred = names[np.where(letter, top, len(m.labels))]
-            rest = [batch.column(i) for i in range(2, batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(~letter | (score < m.reject_below))], names=[*batch.schema.names[2:], "lang_pred", "score", "rejected"])
+            new = [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(~letter | (score < m.reject_below))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in back), *new], names=[*keep, "lang_pred", "score", "rejected"])
+        pa.default_memory_pool().release_unused()
 
     carried = docs.select([F.col(f"`{c}`") for c in keep])
     schema = T.StructType([*carried.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
-    has_letter = F.col(text).rlike(r"\p{L}")
-    return docs.select(F.col(text).alias("__text"), has_letter.alias("__letter"), *[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
+    has_letter = F.col(f"`{text}`").rlike(r"\p{L}")
+    return docs.select(*[F.col(f"`{c}`") for c in sent], has_letter.alias("__letter")).mapInArrow(run, schema)
 
 
 def fold(doc_id: Column, parts: int) -> Column:

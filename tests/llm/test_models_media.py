@@ -46,7 +46,7 @@ def test_samples_stay_bounded_when_ids_repeat(spark, monkeypatch):
 def test_blocks_do_not_matter(spark, docs, monkeypatch):
     import numpy as np
 
-    model = langid.Model(["a", "b"], np.random.default_rng(0).random((1 << langid.LOG_BUCKETS, 2)), np.zeros(2), 1.0, 0.0)
+    model = langid.Model(["a", "b"], np.random.default_rng(0).random((1 << langid.LOG_BUCKETS, 3)), np.zeros(2), 1.0, 0.0)
     raw = np.frombuffer("".join(r["text"] for r in docs.limit(9).collect()).encode(), dtype=np.uint8)
     at = np.array([0, 5, 5, 900, 901, len(raw)])
     whole = langid.sums(model, raw, at)

@@ -22,11 +22,11 @@ def plain_language(docs, rows):
     keep = []
     for r in rows:
         raw = np.frombuffer((r["text"] or "").encode(), dtype=np.uint8)
-        total, n = np.zeros((1, len(model.labels))), 0
+        total, n = np.zeros((1, len(model.labels) + 1)), 0
         for _, buckets in langid.subwords(raw):
             total += model.table[buckets].sum(axis=0, dtype=np.float64)
             n += len(buckets)
-        best = model.probabilities(total, np.array([n])).max()
+        best = model.scores(total, np.array([n]))[1][0]
         if any(c.isalpha() for c in r["text"] or "") and best >= model.reject_below:
             keep.append(r)
     return keep
