@@ -2,6 +2,12 @@
 
 Each stage gets the rows its predecessor kept, written as Parquet and read again. All but the last
 return the columns of ``documents``; a document that the mix takes several times is that many rows.
+
+Other columns of the input are left out, whatever their names. A null text has no language and goes in the first stage, as do empty texts and
+those without a letter; so the stages after it handle them only if they are called on their own, as each operator's docstring says. Null lang or source: the
+document isn't learnt from; null is a source of its own. Rows that repeat an id and a text are one row after exact dedup; rows that share only an
+id stay apart until near-dedup drops an id, which drops all of its rows. Very long texts go through whole. An empty table gives an empty result of
+the same columns at every stage.
 """
 
 from __future__ import annotations
@@ -41,7 +47,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 1024 tokens."""
-    return packing.pack(docs, tokenizer=default_tokenizer(), capacity=1024, end_id=2)
+    return packing.pack(docs, tokenizer=default_tokenizer(), capacity=1024, end_id=2, **packing.VECTOR)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
