@@ -105,7 +105,9 @@ def train(labelled: DataFrame, *, doc_id: str = "doc_id", text: str = "text", la
         return Model([], np.zeros((1, 1)), np.zeros(0), 1.0, 1.0)
     one = keyed.where(F.col("h") <= last).groupBy("h").agg(F.min(F.struct("text", "label")).alias("d")).select("d.text", "d.label", "h")
     sample = one.mapInArrow(_features, "label string, h long, ids array<int>, counts array<int>").toArrow()
-    data = sorted(zip(*(sample.column(i).to_pylist() for i in (1, 0)), (np.array(x) for x in sample.column(2).to_pylist()), (np.array(x, dtype=np.float32) for x in sample.column(3).to_pylist()), strict=True), key=lambda x: (x[0], len(x[2])))
+    (ids, at), (counts, _) = _flat(sample.column(2)), _flat(sample.column(3))
+    names = zip(*(sample.column(i).to_pylist() for i in (1, 0)), strict=True)
+    data = sorted(((h, name, ids[a:b], counts[a:b]) for (h, name), a, b in zip(names, at[:-1].tolist(), at[1:].tolist(), strict=True)), key=lambda x: (x[0], len(x[2])))
     labels = sorted({x[1] for x in data})
     no = {name: k for k, name in enumerate(labels)}
     fit, held = [x for x in data if x[0] % 5], [x for x in data if not x[0] % 5]
@@ -117,7 +119,7 @@ def train(labelled: DataFrame, *, doc_id: str = "doc_id", text: str = "text", la
         for k in rng.permutation(len(fit)):
             _, name, ids, counts = fit[k]
             rate, step = np.float32(RATE * (1 - step / steps)), step + 1
-            share = counts / counts.sum()
+            share = (counts / counts.sum()).astype(np.float32)
             x = share @ emb[ids]
             z = x @ out + bias
             g = np.exp(z - z.max())
@@ -134,6 +136,13 @@ def train(labelled: DataFrame, *, doc_id: str = "doc_id", text: str = "text", la
     return _calibrated(model, held or fit, no)
 
 
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, offsets) of a column of lists, as arrays: Python's own integers would take ten times the driver's memory."""
+    lists = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+    at = lists.offsets.to_numpy()
+    return lists.values.to_numpy(), at
+
+
 def _calibrated(model: Model, held: list, no: dict[str, int]) -> Model:
     total = np.array([counts @ model.table[ids] for _, _, ids, counts in held], dtype=np.float64).reshape(len(held), len(no) + 1)
     n, y = np.array([x[3].sum() for x in held]), np.array([no[x[1]] for x in held])

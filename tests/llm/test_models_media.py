@@ -121,19 +121,14 @@ TOKEN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
 def brute_licenses(text):
-    """All detections by Python's re, then the same suppression over pairs."""
+    """All detections of all rules by Python's re, without keyword or gate, then the same suppression over pairs."""
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     words = TOKEN.findall(low)
     base = [(i, label) for i in range(len(words)) for phrase, label in licenses.BASE if words[i : i + len(phrase.split())] == phrase.split()]
-    found = []
-    if any(g in low for g in licenses.GATES):
-        for label, keyword, rx, p in licenses.rules():
-            if keyword in low:
-                found += [(m.start(), -m.end(), -p, label) for m in re.finditer(rx, low)]
-    found.sort()
+    found = sorted((m.start(), -m.end(), -p, label) for label, _, rx, p in licenses.rules() for m in re.finditer(rx, low))
     kept = [d for i, d in enumerate(found) if not any(-e[1] >= -d[1] and -e[2] >= -d[2] for e in found[:i])]
     labels = {label for _, label in base} | {d[3] for d in kept}
-    return (len(words), len(base), min((i for i, _ in base), default=None), max((i for i, _ in base), default=None), ",".join(sorted({x for _, x in base})), ",".join(sorted(labels)), len(kept))
+    return (len(words), len(base), min((i for i, _ in base), default=None), max((i for i, _ in base), default=None), ",".join(sorted({x for _, x in base})), ",".join(sorted(labels)), len(kept), max([-d[2] / 100 for d in kept] + [0.5] * bool(base), default=0.0))
 
 
 CASES = [
@@ -155,6 +150,5 @@ def test_licenses(spark, docs, odd_docs, no_docs):
     got = {r["doc_id"]: r for r in licenses.report(df).collect()}
     for i, text in rows:
         r = got[i]
-        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"], r["labels"], r["n_detections"]) == brute_licenses(text), text
-        assert 0 <= r["score"] <= 1
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"], r["labels"], r["n_detections"], r["score"]) == brute_licenses(text), text
     assert licenses.report(odd_docs).count() == odd_docs.count() and licenses.report(no_docs).count() == 0
