@@ -7,6 +7,7 @@ size it only lets more keys through.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,17 @@ def mask_of(h: Column) -> Column:
     return _one(first).bitwiseOR(_one(second))
 
 
+def blocks_of(h: np.ndarray, blocks: int) -> np.ndarray:
+    """:func:`block_of` in numpy, for a filter held as an array of words."""
+    return ((h.view(np.uint64) >> np.uint64(12)) & np.uint64(blocks - 1)).astype(np.int64)
+
+
+def masks(h: np.ndarray) -> np.ndarray:
+    """:func:`mask_of` in numpy."""
+    u, one, low = h.view(np.uint64), np.uint64(1), np.uint64(63)
+    return ((one << (u & low)) | (one << ((u >> np.uint64(6)) & low))).view(np.int64)
+
+
 def build(keys: DataFrame, h: str, blocks: int) -> DataFrame:
     """The filter of the keys in column ``h`` (64-bit hashes)."""
     return keys.groupBy(block_of(F.col(h), blocks).alias("__block")).agg(F.bit_or(mask_of(F.col(h))).alias("__word"))
