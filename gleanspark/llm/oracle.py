@@ -22,20 +22,32 @@ ORACLE_SQL: dict[str, str] = {
             regexp_replace(regexp_replace(regexp_extract(u, '(?s)\?(.*)$', 1), '(^|&)utm_[^&]*', '', 'g'), '^&', '') AS query
           FROM bare
         ), captures AS (
-          SELECT page_id, host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS canonical_url,
-            '"' || substr(md5(coalesce(html, '')), 1, 16) || '"' AS tag, strlen(coalesce(html, '')) AS size
+          SELECT page_id AS p, host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS canonical_url, strlen(coalesce(html, ''))::VARCHAR AS size,
+            '"' || substr(md5(coalesce(html, '')), 1, 16) || '"' AS tag1, '"' || substr(md5(coalesce(html, '') || '2'), 1, 16) || '"' AS tag2,
+            '"' || substr(md5(coalesce(html, '') || '3'), 1, 16) || '"' AS tag3, 'd' || (page_id % 7) AS day
           FROM parts
+        ), responses AS (
+          SELECT p * 8 AS id, canonical_url, p * 20 AS ts, size, CASE WHEN p % 5 <> 4 THEN tag1 END AS etag, CASE WHEN p % 5 <> 4 THEN day END AS modified FROM captures
+          UNION ALL SELECT p * 8 + 1, canonical_url, p * 20 + 4, size, tag2, NULL FROM captures WHERE p % 3 = 0
+          UNION ALL SELECT p * 8 + 2, canonical_url, p * 20 + 9, size, tag3, NULL FROM captures WHERE p % 2 = 0
+        ), revisits AS (
+          SELECT p * 8 + 3 AS id, canonical_url, p * 20 + 6 AS ts, CASE p % 4 WHEN 0 THEN 'W/' || CASE WHEN p % 3 = 0 THEN tag2 ELSE tag1 END WHEN 1 THEN tag1 END AS etag,
+            CASE WHEN p % 4 = 2 THEN day END AS modified FROM captures
+          UNION ALL SELECT p * 8 + 4, canonical_url, p * 20 - 1, tag1, NULL FROM captures WHERE p % 7 = 0
         ), matched AS (
-          SELECT v.page_id, v.canonical_url, v.tag, max_by(r.page_id, r.page_id) AS response
-          FROM captures v LEFT JOIN captures r ON r.canonical_url = v.canonical_url AND r.page_id * 2 < (v.page_id + 1000) * 2 + 1
-          GROUP BY ALL
+          SELECT v.id, v.canonical_url, v.ts, v.etag, v.modified, arg_max(r.id, r.ts * 1000000000 + r.id) AS response
+          FROM revisits v LEFT JOIN responses r ON r.canonical_url = v.canonical_url AND r.ts < v.ts GROUP BY ALL
+        ), judged AS (
+          SELECT m.*, r.size, r.etag AS their_etag, r.modified AS their_modified,
+            CASE WHEN r.id IS NULL THEN 'none'
+                 WHEN coalesce(ltrim(m.etag, 'W/') = ltrim(r.etag, 'W/'), m.modified = r.modified, false) THEN 'resolved' ELSE 'mismatch' END AS outcome
+          FROM matched m LEFT JOIN responses r ON r.id = m.response
         )
-        SELECT m.page_id * 2 + 1 AS record_id, m.canonical_url, (m.page_id + 1000) * 2 + 1 AS ts,
-          CASE WHEN r.tag = m.tag THEN r.page_id * 2 END AS resolved_id,
-          CASE WHEN r.page_id IS NULL THEN 'none' WHEN r.tag = m.tag THEN 'resolved' ELSE 'mismatch' END AS outcome,
-          CASE WHEN r.tag = m.tag THEN 'cache-control: max-age=60; content-length: ' || r.size || '; content-type: text/html; etag: W/' || m.tag
-               ELSE 'cache-control: max-age=60; content-length: 0; etag: W/' || m.tag || '; set-cookie: a=b' END AS headers
-        FROM matched m LEFT JOIN captures r ON r.page_id = m.response
+        SELECT id AS record_id, canonical_url, ts, CASE WHEN outcome = 'resolved' THEN response END AS resolved_id, outcome,
+          CASE WHEN outcome = 'resolved'
+               THEN concat_ws('; ', 'cache-control: max-age=60', 'content-length: ' || size, 'content-type: text/html', 'etag: ' || coalesce(etag, their_etag), 'last-modified: ' || coalesce(modified, their_modified))
+               ELSE concat_ws('; ', 'cache-control: max-age=60', 'content-length: 0', 'etag: ' || etag, 'last-modified: ' || modified, 'set-cookie: a=b') END AS headers
+        FROM judged
     """,
     "op9_url_filter": r"""
         WITH rules(host, path, verdict) AS (

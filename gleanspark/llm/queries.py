@@ -53,14 +53,32 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _captures(pages: DataFrame) -> DataFrame:
-    """Two WARC records a page: its full response, and a 304 of the same URL a thousand pages later with the page's validators."""
-    tag = F.concat(F.lit('"'), F.substring(F.md5(F.coalesce("html", F.lit(""))), 1, 16), F.lit('"'))
-    size = F.octet_length(F.coalesce("html", F.lit(""))).cast("string")
-    full = F.create_map(F.lit("content-type"), F.lit("text/html"), F.lit("content-length"), size, F.lit("etag"), tag, F.lit("cache-control"), F.lit("max-age=3600"))
-    turned = F.create_map(F.lit("content-length"), F.lit("0"), F.lit("etag"), F.concat(F.lit("W/"), tag), F.lit("cache-control"), F.lit("max-age=60"), F.lit("set-cookie"), F.lit("a=b"))
-    record = lambda n, kind, ts, status, headers: F.struct((F.col("page_id") * 2 + n).alias("record_id"), F.lit(kind).alias("type"), "url", ts.alias("ts"), F.lit(status).alias("status"), headers.alias("headers"))
-    both = F.array(record(0, "response", F.col("page_id") * 2, 200, full), record(1, "revisit", (F.col("page_id") + 1000) * 2 + 1, 304, turned))
-    return pages.select(F.explode(both).alias("r")).select("r.*")
+    """WARC records of a page: up to three full responses, one of them later than the revisit, a revisit with validators of every kind, and one before any response.
+
+    By page_id: every third page changes between two responses; every fifth first response has no validators; a revisit has the latest ETag, weak,
+    the first response's ETag, only Last-Modified, or nothing.
+    """
+    p, html = F.col("page_id"), F.coalesce("html", F.lit(""))
+    tag = lambda salt: F.concat(F.lit('"'), F.substring(F.md5(F.concat(html, F.lit(salt))), 1, 16), F.lit('"'))
+    day, bare = F.concat(F.lit("d"), (p % 7).cast("string")), p % 5 == 4
+    first, second, kind = tag(""), tag("2"), p % 4
+
+    def record(n: int, type_: str, ts, headers: dict):
+        entries = [F.when(v.isNotNull(), F.struct(F.lit(k).alias("key"), v.alias("value"))) for k, v in headers.items()]
+        named = F.map_from_entries(F.array_compact(F.array(*entries)))
+        return F.struct((p * 8 + n).alias("record_id"), F.lit(type_).alias("type"), "url", ts.alias("ts"), F.lit(200 if type_ == "response" else 304).alias("status"), named.alias("headers"))
+
+    full = {"content-type": F.lit("text/html"), "content-length": F.octet_length(html).cast("string"), "cache-control": F.lit("max-age=3600")}
+    turned = {"content-length": F.lit("0"), "cache-control": F.lit("max-age=60"), "set-cookie": F.lit("a=b")}
+    latest = F.concat(F.lit("W/"), F.when(p % 3 == 0, second).otherwise(first))
+    records = [
+        record(0, "response", p * 20, full | {"etag": F.when(~bare, first), "last-modified": F.when(~bare, day)}),
+        F.when(p % 3 == 0, record(1, "response", p * 20 + 4, full | {"etag": second})),
+        F.when(p % 2 == 0, record(2, "response", p * 20 + 9, full | {"etag": tag("3")})),
+        record(3, "revisit", p * 20 + 6, turned | {"etag": F.when(kind == 0, latest).when(kind == 1, first), "last-modified": F.when(kind == 2, day)}),
+        F.when(p % 7 == 0, record(4, "revisit", p * 20 - 1, turned | {"etag": first})),
+    ]
+    return pages.select(F.explode(F.array_compact(F.array(*records))).alias("r")).select("r.*")
 
 
 def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,9 @@ status 200) of its canonical URL with a strictly earlier ts; of several at that
 both have one, else Last-Modified. The merged headers are the response's, with those that a 304 may update taken from it.
 
 The as-of join cuts time into ranges: within a (URL, range) by a window, across ranges by carrying one row per (URL, range). So a
-URL that holds most records is many tasks. Null url: never matches. Null ts: no earlier response, and serves none. Repeated records resolve alike. An empty
-table gives an empty result. Extra columns are ignored.
+URL that holds most records is many tasks. Headers of a response that many revisits share are broadcast to them (at most 1 / HOT_SHARE such responses); revisits
+without a response meet no join. Null url: never matches. Null ts: no earlier response, and serves none. Repeated records resolve alike; of responses that share
+an id, the one whose headers sort first serves. An empty table gives an empty result. Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanspark.llm.common import UPPER
+from gleanspark.llm.common import UPPER, join_groups, scratch
 
 #: Ranges that the time span is cut into.
 RANGES = 256
@@ -65,8 +66,14 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     revisits = base.where(turned).select("record_id", "ts", "canonical_url", "headers")
     same = (F.col("record_id") == F.col("__id")) & (F.col("ts") == F.col("__ts")) & (revisits["canonical_url"] == asof["canonical_url"])
     matched = revisits.join(asof, same, "left").select("record_id", revisits["canonical_url"], "ts", "headers", "resolved_id")
-    responses = base.where(full).select(F.col("record_id").alias("__response"), F.col("headers").alias("stored")).dropDuplicates(["__response"])
-    joined = matched.join(responses, F.col("resolved_id") == F.col("__response"), "left")
-    outcome = F.when(F.col("resolved_id").isNull(), "none").when(_validates(F.col("headers"), F.col("stored")), "resolved").otherwise("mismatch")
+    matched = scratch(matched)
+    sorted_headers = F.array_join(F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat_ws(": ", e["key"], e["value"])), "; ")
+    responses = base.where(full).groupBy(F.col("record_id").alias("resolved_id")).agg(F.min_by("headers", sorted_headers).alias("stored"))
+    served = matched.where("resolved_id is not null")
+    used = served.groupBy("resolved_id").agg(F.count("*").alias("__n"))
+    joined = join_groups(served, responses.join(used, "resolved_id"), "resolved_id", "__n", served.count())
+    outcome = F.when(_validates(F.col("headers"), F.col("stored")), "resolved").otherwise("mismatch")
     headers = F.when(outcome == "resolved", merged_headers(F.col("headers"), F.col("stored"))).otherwise(F.col("headers"))
-    return joined.select("record_id", "canonical_url", "ts", F.when(outcome == "resolved", F.col("resolved_id")).alias("resolved_id"), outcome.alias("outcome"), headers.alias("headers"))
+    columns = ["record_id", "canonical_url", "ts"]
+    found = joined.select(*columns, F.when(outcome == "resolved", F.col("resolved_id")).alias("resolved_id"), outcome.alias("outcome"), headers.alias("headers"))
+    return found.unionByName(matched.where("resolved_id is null").select(*columns, "resolved_id", F.lit("none").alias("outcome"), "headers"))
