@@ -38,7 +38,7 @@ def annotate(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     hashes = _hashes(docs, doc_id, text)
     n = hashes.count()
     blocks = bloom.n_blocks(n)
-    probed = bloom.probe(hashes, "__h", bloom.build_repeated(hashes, "__h", blocks), blocks, "__maybe")
+    probed = bloom.probe(hashes, "__h", scratch(bloom.build_repeated(hashes, "__h", blocks)), blocks, "__maybe")
     columns = [F.col("__id").alias(doc_id), "keep_id", "group_size", "kept", "text_sha256"]
     unique = probed.where("not __maybe").select(
         F.col("__id").alias(doc_id), F.col("__id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
