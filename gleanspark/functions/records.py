@@ -298,7 +298,7 @@ def canonical(date: str, line: int, index: dict, raw, hash_id) -> dict:
     }
     kinds = ["router"] + (["tool_use_sft"] if has_tools else ["sft"] if finish != "length" else [])
     full = {
-        "schema_version": 2,
+        "schema_version": "audit_canonical.v2",
         "sample_id": sample_id,
         "source": source,
         "request": {"model": model, "request_path": raw.get("request_path"), "messages": messages, "tools": tools, "tool_choice": params.get("tool_choice"), "params": params},

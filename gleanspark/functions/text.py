@@ -46,10 +46,12 @@ CONTROL_TEXTS = (
     "继续", "重试", "再来", "测试", "不对", "好的", "可以", "嗯", "是", "否",
 )
 URL = r"(?iU)\bhttps?://\S+"
-SEGMENT = r"(?:[A-Za-z0-9_.-]+|<[A-Za-z_]+_\d+>)"
+#: A path below a segment ends in its last part with a dot before its end. Written as units, each of parts without such a dot and one with it, so that
+#: every repetition is possessive: Java recurses for each turn of one that may be given back.
+SEGMENT, PLAIN = r"(?:[A-Za-z0-9_.-]++|<[A-Za-z_]+_\d+>)", r"(?:(?:[A-Za-z0-9_-]++\.?+|\.)(?![A-Za-z0-9_.-])|<[A-Za-z_]+_\d+>)"
 PATH = (
     r"(?U)(?:(?:^|\s)(?:/|\.\.?/|~[/\\]|[A-Za-z]:[\\/])\S+|"
-    r"(?:^|\s)" + SEGMENT + r"(?:[/\\]" + SEGMENT + r")*[/\\][A-Za-z0-9_.-]*\.[A-Za-z0-9_.-]+)"
+    r"(?:^|\s)" + SEGMENT + r"(?:(?:[/\\]" + PLAIN + r")*+[/\\][A-Za-z0-9_.-]*\.[A-Za-z0-9_.-]+)++)"
 )
 PLACEHOLDER = r"(?iU)<[A-Z_]+_\d+>"
 NUMBER = r"(?U)(?<!\w)\d+(?:\.\d+)?(?!\w)"
@@ -60,7 +62,7 @@ SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 def strip(c: Column) -> Column:
     """Without white space of any kind at either end."""
-    return F.regexp_replace(F.translate(c, SEPARATORS, "    "), r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(F.translate(c, SEPARATORS, "    "), r"(?U)^\s++|(?<!\s)\s++$", "")  # a run inside is looked at once
 
 
 def normalize(c: Column) -> Column:

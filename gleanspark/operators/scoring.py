@@ -28,12 +28,13 @@ INTENT_WORDS = (
     ("analyze_reason", ("推理", "证明", "分析", "为什么", "步骤")),
     ("domain_lookup", ("账单", "订单", "用户资料", "营业", "发票")),
 )
+INTENTS = ("greeting_or_probe", "answer_question", "write_code", "debug_code", "analyze_reason", "use_tool", "summarize_or_transform", "domain_lookup", "unknown")
 LONG_TOKENS, LONG_CHARS = 64_000, 120_000
 
 
 @dataclass(frozen=True)
 class Config:
-    """Defaults of selection."""
+    """Defaults of selection: fixed values."""
 
     selected_min_score: float = 0.6
     router_min_score: float = 0.5

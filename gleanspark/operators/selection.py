@@ -7,7 +7,6 @@ quota is a window over the duplicate keys.
 
 from __future__ import annotations
 
-import hashlib
 from collections import namedtuple
 from collections.abc import Callable, Iterator
 
@@ -18,7 +17,9 @@ from pyspark.sql.types import StructType
 
 from gleanspark.functions import text as t
 from gleanspark.operators.scoring import Config, use_for
+from gleanspark.sources.tables import stored
 
+# ---- Fixed values: kinds of use, and rejects that deduplication gives.
 KINDS = ("router_classification", "sft", "tool_use_sft")
 ALL_BITS = (1 << 64) - 1
 DEDUPE_REASONS = ("duplicate_content", "normalized_duplicate_content", "near_duplicate_content", "debug_noise_repeat", "debug_burst")
@@ -251,7 +252,7 @@ def decide_by_fold(rows: DataFrame, config: Config = Config()) -> DataFrame:
 
 def select(marked: DataFrame, config: Config = Config()) -> DataFrame:
     """date, kind, sample_id, line_no, decision of every candidate."""
-    rows = candidates(marked).persist()  # slim rows, used by the check of quotas and by the decision
+    rows = stored(candidates(marked))  # slim rows, used by the check of quotas and by the decision
     decided = decide_by_windows(rows, config) if quota_free(rows, config) else decide_by_fold(rows, config)
     return decided.select("date", "kind", "sample_id", "line_no", "decision")
 
@@ -313,11 +314,3 @@ def multi_turn(built: DataFrame) -> DataFrame:
     unsafe = F.exists("turns", lambda x: t.leakage(x["user_text"]).isNotNull() | t.leakage(x["response_text"]).isNotNull())
     pair = lambda x: F.array(F.struct(F.lit("user").alias("role"), x["user_text"].alias("content")), F.struct(F.lit("assistant").alias("role"), x["response_text"].alias("content")))
     return built.where(F.col("exportable") & ~unsafe).select("episode_id", "date", "turn_count", "route_label", "intent_label", "score_bucket", F.flatten(F.transform("turns", pair)).alias("messages"))
-
-
-def export_id(episode_id: str, key: str) -> str:
-    """A public id of an episode that cannot be linked without the key."""
-    import hmac
-
-    digest = hmac.new(key.encode(), episode_id.encode(), hashlib.sha256).hexdigest()[:16]
-    return f"ep{digest[:8]}x{digest[8:]}"

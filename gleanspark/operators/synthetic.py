@@ -14,7 +14,7 @@ from gleanspark.functions.records import is_call, is_tool, parse
 from gleanspark.operators.scoring import ROUTES, stable_json
 
 #: Keys that mark logged data; a batch that has one anywhere is refused.
-AUDIT_KEYS = {"request_id", "user_id", "tenant_id", "session_id", "api_key_id", "client_ip", "request_path", "file_path", "raw_record", "audit_record", "user_hash", "tenant_hash", "session_hash"}
+AUDIT_KEYS = {"request_id", "file_path", "tenant_id", "user_id", "api_key_id", "client_ip", "session_id", "request_body", "response_body", "tenant_hash", "user_hash", "session_hash"}
 SCHEMA = "sample_id string, task_type string, json string, problem string"
 FENCE = re.compile(r"^\s*```(?:json)?\s*\n?(.*?)\n?\s*```\s*$", re.S)
 

@@ -420,7 +420,7 @@ def set_ops(spark, sf_dir):
 
 def _route_answer(payload: str) -> str:
     """A stand-in for a model: its label follows from the payload."""
-    p = json.loads(payload)
+    p = json.loads(payload)["sample"]["features"]
     return json.dumps({"label": "reasoning" if p["message_count"] > 2 else "general_chat", "confidence": 0.9 if p["prompt_tokens_bucket"] == "lt_512" else 0.5})
 
 
@@ -432,16 +432,46 @@ def lab_apply_route(spark, sf_dir):
 
 
 def _quality_answer(payload: str) -> str:
-    p = json.loads(payload)
-    return json.dumps({"score": 0.3 if p["message_count"] > 3 else 0.95, "risk_labels": ["duplicate", "made_up"] if p["message_count"] == 1 else []})
-
-
-@query()
+    p = json.loads(payload)["sample"]["features"]
+    return json.dumps({"quality_score": 0.3 if p["message_count"] > 3 else 0.95, "risk_labels": ["duplicate", "made_up"] if p["message_count"] == 1 else []})
+
+
+@query(f"""WITH {SAMPLES}, asked AS (
+    SELECT *, CASE WHEN len(reject_reasons) = 0 AND deterministic_score >= 0.6 THEN CASE WHEN message_count > 3 THEN 0.3 ELSE 0.95 END END::DOUBLE AS model FROM labelled
+  ), judged AS (
+    SELECT *, CASE WHEN model < deterministic_score THEN model ELSE deterministic_score END AS final_score,
+      list_concat(reject_reasons, CASE WHEN model IS NOT NULL AND message_count = 1 THEN ['model_risk'] ELSE [] END, CASE WHEN model < deterministic_score AND model < 0.6 THEN ['model_downranked'] ELSE [] END) AS reasons
+    FROM asked
+  ) SELECT sample_id, final_score, array_to_string(reasons, ',') AS reject_reasons,
+    CASE WHEN len(reasons) = 0 AND deterministic_score >= 0.6 AND final_score >= 0.6 THEN 'router_classification' || CASE WHEN response_text <> '' AND any_user = 1 THEN ',sft' ELSE '' END ELSE '' END AS use_for
+  FROM judged""")
 def lab_apply_quality(spark, sf_dir):
     rows = labels.label_quality(_scored(spark, sf_dir), _quality_answer)
     return rows.select("sample_id", "final_score", F.array_join("reject_reasons", ",").alias("reject_reasons"), F.array_join("use_for", ",").alias("use_for"))
 
 
+#: Answers of a model by doc_id modulo 6: good, out of range, wrong name, labels that are no list, repeated labels, a reason that is no text.
+ANSWERS = (
+    '{"quality_score": 0.5, "value_labels": ["code_task", "x"], "risk_labels": []}', '{"quality_score": 1.5}', '{"score": 0.5}',
+    '{"quality_score": 0.25, "value_labels": 3}', '{"quality_score": 1, "risk_labels": ["duplicate", "duplicate"], "reason": "r"}', '{"quality_score": 0.5, "reason": 7}',
+)
+
+
+@query("""SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 0.5 WHEN 4 THEN 1.0 END::DOUBLE AS score, CASE WHEN doc_id % 6 = 0 THEN 'code_task' ELSE '' END AS value_labels,
+  CASE WHEN doc_id % 6 = 4 THEN 'duplicate' ELSE '' END AS risk_labels, CASE WHEN doc_id % 6 NOT IN (0, 4) THEN 'labeler_invalid_response' END AS error FROM documents""")
+def lab_parse(spark, sf_dir):
+    answer = F.get(F.array(*[F.lit(a) for a in ANSWERS]), (F.col("doc_id") % 6).cast("int"))
+    rows, _ = labels.ask(_read(spark, sf_dir, "documents").select("doc_id", answer.alias("payload")), lambda payload: payload, labels.parse_quality, labels.QUALITY_SCHEMA)
+    return rows.select("doc_id", F.col("model_score").alias("score"), F.array_join("model_values", ",").alias("value_labels"), F.array_join("model_risks", ",").alias("risk_labels"), F.col("label_error").alias("error"))
+
+
+@query(f"""WITH {SAMPLES} SELECT 'requests' AS section, 'classify_route' AS key, count(*) AS n FROM (SELECT DISTINCT message_count, CASE WHEN prompt_tokens < 512 THEN 0 WHEN prompt_tokens < 4096 THEN 1 WHEN prompt_tokens < 16000 THEN 2 WHEN prompt_tokens < 64000 THEN 3 ELSE 4 END AS b,
+    CASE WHEN len(regexp_split_to_array(response_text, '\s+')) < 512 THEN 0 WHEN len(regexp_split_to_array(response_text, '\s+')) < 4096 THEN 1 WHEN len(regexp_split_to_array(response_text, '\s+')) < 16000 THEN 2 ELSE 3 END AS c, route_label, intent_label, CASE WHEN model LIKE '%mistral%' THEN 'other' ELSE model END AS m FROM labelled)""")
+def lab_stats(spark, sf_dir):
+    _, stats = labels.route_answers(_scored(spark, sf_dir), _route_answer)
+    return stats.where("section = 'requests'")
+
+
 @query("""SELECT 'synthetic-' || substr(sha256('{"input":' || to_json(text) || ',"label":"general_chat","task_type":"router","topic":"b"}'), 1, 24) AS sample_id, 'router' AS task_type FROM benchmark""")
 def syn_parse(spark, sf_dir):
     sample = F.struct(F.lit("router").alias("task_type"), F.lit("b").alias("topic"), F.col("text").alias("input"), F.lit("general_chat").alias("label"))

@@ -16,7 +16,8 @@ def stream_samples(spark: SparkSession, folder: str, checkpoint: str, write: Cal
 
     def each(batch: DataFrame, number: int) -> None:
         for name, rows in plan(batch, config).items():
-            write(name, rows, number)
+            if name != "done":
+                write(name, rows, number)
 
     arrived = spark.readStream.schema(f"{SAMPLE_SCHEMA}, reason string").parquet(folder)
     return arrived.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -2,6 +2,8 @@
 
 import copy
 import json
+import random
+import re
 from pathlib import Path
 
 import pytest
@@ -127,6 +129,24 @@ def test_normalisation(spark):
     assert {r["x"]: r["n"] for r in rows} == cases
 
 
+PLAIN_SEGMENT = r"(?:[A-Za-z0-9_.-]+|<[A-Za-z_]+_\d+>)"
+PLAIN_PATH = re.compile(r"(?:(?:^|\s)(?:/|\.\.?/|~[/\\]|[A-Za-z]:[\\/])\S+|(?:^|\s)" + PLAIN_SEGMENT + r"(?:[/\\]" + PLAIN_SEGMENT + r")*[/\\][A-Za-z0-9_.-]*\.[A-Za-z0-9_.-]+)")
+
+
+def test_paths_as_a_plain_pattern_finds_them(spark):
+    rng = random.Random(7)
+    texts = ["".join(rng.choice(["a", "b.c", ".", "/", "\\", "<x_1>", "<", "-", " ", "c:", "~", "é", "\n"]) for _ in range(rng.randrange(1, 16))) for _ in range(4000)]
+    rows = spark.createDataFrame([(x,) for x in texts], "x string").select("x", F.regexp_replace("x", t.PATH, "#").alias("y")).collect()
+    assert [r["y"] for r in rows] == [PLAIN_PATH.sub("#", r["x"]) for r in rows]
+
+
+@pytest.mark.parametrize("unit", ["a/", "/", " ", "\n", "a b ", "MIT License ", "1 ", "<x_1>/"])
+def test_very_long_texts(spark, unit):
+    text = "x " + unit * (5_000_000 // len(unit)) + " y"
+    row = spark.createDataFrame([(text,)], "x string").select(F.length(t.normalize_for_dedupe(F.col("x"))).alias("n"), F.length(t.strip(F.col("x"))).alias("s"), t.leakage(F.col("x")).alias("l"), F.size(t.dedupe_tokens(t.normalize(F.col("x")))).alias("k")).first()
+    assert 0 < row["n"] <= 1200 and row["s"] == len(text.strip()) and row["l"] == "too_long" and row["k"] > 0
+
+
 def test_time(spark):
     cases = {"2026-01-02T03:04:05Z": 1767323045000, "2026-01-02 03:04:05.12": 1767323045120, "2026-01-02T03:04:05+08:00": 1767294245000, "2026-13-02T03:04:05Z": None, "x": None}
     rows = spark.createDataFrame([(k,) for k in cases], "x string").withColumn("n", t.timestamp_ms(F.col("x"))).collect()
@@ -224,16 +244,47 @@ def test_episodes(spark, tmp_path):
 def test_process_date_publishes_all_or_nothing(spark, tmp_path):
     write_logs(tmp_path / "in", [raw(), changed(("status",), "error"), raw(n=2, user="你好")])
     out = tmp_path / "out"
-    manifest = plans.process_date(spark, str(tmp_path / "in"), f"file://{out}", DAY)
+    manifest = plans.process_date(spark, str(tmp_path / "in"), f"file://{out}", DAY, single_file=True)
     assert manifest["accepted"] == 2 and manifest["rejected"] == {"status_not_success": 1}
-    line = json.loads((out / f"selected_sft/{DAY}.jsonl").read_text())
+    line = json.loads((out / f"selected/sft/{DAY}.jsonl").read_text())
     assert line["output"] == "def f(xs): return sorted(xs)" and "sample_id" not in line
     assert records.unsafe(line) is None
-    assert json.loads((out / f"rejects/{DAY}.jsonl").read_text()) == {"date": DAY, "reason": "status_not_success", "schema_version": 1}
+    assert json.loads((out / f"reports/{DAY}.rejects.jsonl").read_text()) == {"date": DAY, "reason": "status_not_success", "schema_version": "selection_report.v1"}
+    told = json.loads((out / f"reports/{DAY}.selection_manifest.json").read_text())
+    assert told["selection"]["selected_counts"] == {"router_classification": 1, "sft": 1, "tool_use_sft": 0} and told["selection"]["candidate_count"] == 2
+    assert told["output_matrix"]["disable_episodes"] is False and told["labelers"]["feature_only_default"] is True
+    stats = json.loads((out / f"reports/{DAY}.stats.json").read_text())
+    assert (stats["accepted"], stats["rejected"], stats["reject_reasons"], stats["models"]) == (2, 1, {"status_not_success": 1}, {"gpt-4o": 2})
+    assert json.loads((out / f"reports/{DAY}.quality_stats.json").read_text())["total"] == 2
     assert len((out / f"canonical/{DAY}.jsonl").read_text().splitlines()) == 2
     assert not list((out / ".locks").glob("*.lock")) and not list((out / ".tmp").glob("*"))
-    again = plans.process_date(spark, str(tmp_path / "in"), f"file://{out}", DAY)
-    assert again["accepted"] == 2 and (out / f"canonical/{DAY}.jsonl").exists()
+    events: list = []
+    small = plans.Outputs(disable_episodes=True, disable_diagnostics=True)
+    again = plans.process_date(spark, str(tmp_path / "in"), f"file://{out}", DAY, outputs=small, progress=events.append)
+    assert again["accepted"] == 2 and (out / f"sft/{DAY}.jsonl").is_dir() and "episodes" not in again["outputs"]
+    assert [e["rejected"] for e in events] == [1]
+
+
+def test_outputs_by_switch():
+    every = plans.Outputs().names()
+    assert set(every) - set(plans.Outputs(disable_episodes=True).names()) == {"episodes", "selected_multi_turn_sft"}
+    assert set(every) - set(plans.Outputs(disable_diagnostics=True).names()) == {"canonical", "quality", "episodes"}
+    assert plans.Outputs(compat_output_set=True).names() == plans.Outputs(disable_selection=True).names() == list(plans.BASE)
+
+
+def test_model_labels_reach_exports(spark, tmp_path):
+    rows = [raw(), raw(n=1, user="Explain the sql join to me in words")]
+    read = samples_of(spark, tmp_path, rows)
+    stats: list = []
+    out = plans.plan(read, route_client=lambda p: '{"label": "reasoning", "confidence": 0.5}', label_stats=stats)
+    chosen = [json.loads(r["json"]) for r in out["selected_router"].collect()]
+    assert len(chosen) == 2 and all(r["labels"] == {"final_label": "reasoning", "rule_label": "code_generation"} for r in chosen)
+    queue = [json.loads(r["json"]) for r in out["label_queue"].collect()]
+    assert len(queue) == 2 and set(queue[0]) == {"schema_version", "reason", "features", "labels"} and queue[0]["reason"] == "low_confidence_route"
+    assert queue[0]["labels"]["confidence"] == "low" and queue[0]["features"]["prompt_tokens_bucket"] == "lt_512"
+    (turns,) = [json.loads(r["json"]) for r in out["selected_multi_turn_sft"].collect()]
+    assert re.fullmatch("ep[0-9a-f]{8}x[0-9a-f]{8}", turns["episode_export_id"]) and turns["metadata"]["turn_count"] == 2
+    assert stats and records.unsafe(turns) is None
 
 
 def test_publish_rolls_back(spark, tmp_path):
