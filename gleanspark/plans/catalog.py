@@ -437,10 +437,10 @@ def _quality_answer(payload: str) -> str:
 
 
 @query(f"""WITH {SAMPLES}, asked AS (
-    SELECT *, CASE WHEN len(reject_reasons) = 0 AND deterministic_score >= 0.6 THEN CASE WHEN message_count > 3 THEN 0.3 ELSE 0.95 END END::DOUBLE AS model FROM labelled
+    SELECT *, CASE WHEN len(reject_reasons) = 0 AND deterministic_score >= 0.6 THEN CASE WHEN message_count > 3 THEN 0.3 ELSE 0.95 END END::DOUBLE AS answer FROM labelled
   ), judged AS (
-    SELECT *, CASE WHEN model < deterministic_score THEN model ELSE deterministic_score END AS final_score,
-      list_concat(reject_reasons, CASE WHEN model IS NOT NULL AND message_count = 1 THEN ['model_risk'] ELSE [] END, CASE WHEN model < deterministic_score AND model < 0.6 THEN ['model_downranked'] ELSE [] END) AS reasons
+    SELECT *, CASE WHEN answer < deterministic_score THEN answer ELSE deterministic_score END AS final_score,
+      list_concat(reject_reasons, CASE WHEN answer IS NOT NULL AND message_count = 1 THEN ['model_risk'] ELSE [] END, CASE WHEN answer < deterministic_score AND answer < 0.6 THEN ['model_downranked'] ELSE [] END) AS reasons
     FROM asked
   ) SELECT sample_id, final_score, array_to_string(reasons, ',') AS reject_reasons,
     CASE WHEN len(reasons) = 0 AND deterministic_score >= 0.6 AND final_score >= 0.6 THEN 'router_classification' || CASE WHEN response_text <> '' AND any_user = 1 THEN ',sft' ELSE '' END ELSE '' END AS use_for
@@ -465,7 +465,7 @@ def lab_parse(spark, sf_dir):
     return rows.select("doc_id", F.col("model_score").alias("score"), F.array_join("model_values", ",").alias("value_labels"), F.array_join("model_risks", ",").alias("risk_labels"), F.col("label_error").alias("error"))
 
 
-@query(f"""WITH {SAMPLES} SELECT 'requests' AS section, 'classify_route' AS key, count(*) AS n FROM (SELECT DISTINCT message_count, CASE WHEN prompt_tokens < 512 THEN 0 WHEN prompt_tokens < 4096 THEN 1 WHEN prompt_tokens < 16000 THEN 2 WHEN prompt_tokens < 64000 THEN 3 ELSE 4 END AS b,
+@query(rf"""WITH {SAMPLES} SELECT 'requests' AS section, 'classify_route' AS key, count(*) AS n FROM (SELECT DISTINCT message_count, CASE WHEN prompt_tokens < 512 THEN 0 WHEN prompt_tokens < 4096 THEN 1 WHEN prompt_tokens < 16000 THEN 2 WHEN prompt_tokens < 64000 THEN 3 ELSE 4 END AS b,
     CASE WHEN len(regexp_split_to_array(response_text, '\s+')) < 512 THEN 0 WHEN len(regexp_split_to_array(response_text, '\s+')) < 4096 THEN 1 WHEN len(regexp_split_to_array(response_text, '\s+')) < 16000 THEN 2 ELSE 3 END AS c, route_label, intent_label, CASE WHEN model LIKE '%mistral%' THEN 'other' ELSE model END AS m FROM labelled)""")
 def lab_stats(spark, sf_dir):
     _, stats = labels.route_answers(_scored(spark, sf_dir), _route_answer)
