@@ -133,6 +133,31 @@ def test_constraints_hold():
         packing.plan({11: 1}, capacity=10, max_docs=1, max_cost=1000)
 
 
+def test_vector_capacities_choose_and_bind():
+    """Production's capacities give other sequences than best fit by tokens, hardly more of them, and the cost's limit is reached."""
+    rng = np.random.default_rng(6)
+    counts = Counter(np.clip(rng.lognormal(6, 1, 6000), 1, 1024).astype(int).tolist())
+
+    def sequences(**kwargs):
+        bins: dict = defaultdict(list)
+        for length, _, number, first, _ in packing.plan(counts, capacity=1024, **kwargs):
+            for k in range(number):
+                bins[first + k].append(length)
+        return bins
+
+    plain, vector = sequences(max_docs=1024, max_cost=1024 * 1024), sequences(**packing.VECTOR)
+    cost = [sum(packing.attention_cost(n, 64) for n in items) for items in vector.values()]
+    assert Counter(tuple(sorted(x)) for x in plain.values()) != Counter(tuple(sorted(x)) for x in vector.values())
+    assert max(cost) == 257 and sum(c == 257 for c in cost) > 10 and max(map(len, vector.values())) <= 64
+    assert len(vector) <= 1.01 * len(plain)
+
+
+def test_long_runs_are_tokenised():
+    fast, slow = packing.byte_bpe(*default_tokenizer()), packing.byte_bpe(default_tokenizer()[0], None, None)
+    for text in ["a" + " " * 1_000_000 + "b", "\n" * 1_000_000, "a/" * 200_000]:
+        assert (fast(text) == slow(text)).all()
+
+
 def test_both_tokenizers_agree():
     slow, fast = packing.byte_bpe(default_tokenizer()[0], None, None), packing.byte_bpe(*default_tokenizer())
     for text in ["", "don't DON'T 12 ½ ²", "ça va là-bas\r\n\t x", "\x85 a\x1c b", "中文 abc", "<|endoftext|>", "x" * 3000, "q\u200b \ufeff", "“a” — b… ŁÓDŹ ǅ ʰ"]:
