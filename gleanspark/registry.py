@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from gleanspark.plans import cases  # noqa: F401  (registers its queries)
 from gleanspark.plans.catalog import ORACLE_SQL, QUERIES, Query
 
 
