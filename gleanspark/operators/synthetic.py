@@ -79,15 +79,15 @@ def parse_batch(answer: str, source: dict) -> list[dict]:
     return good
 
 
-def parse_answers(answers: DataFrame) -> DataFrame:
-    """(batch_index, answer) rows to samples: sample_id, task_type, json; a refused batch is a row with its problem."""
+def parse_answers(answers: DataFrame, **source: str) -> DataFrame:
+    """(batch_index, answer) rows to samples: sample_id, task_type, json; a refused batch is a row with its problem. ``source`` is told of every sample."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
             for batch, answer in zip(frame["batch_index"], frame["answer"], strict=True):
                 try:
-                    rows += [(s["sample_id"], s["task_type"], stable_json(s), None) for s in parse_batch(answer or "", {"type": "synthetic", "batch_index": int(batch)})]
+                    rows += [(s["sample_id"], s["task_type"], stable_json(s), None) for s in parse_batch(answer or "", {"type": "synthetic", "batch_index": int(batch)} | source)]
                 except ValueError as e:
                     rows.append((None, None, None, str(e)))
             yield pd.DataFrame(rows, columns=["sample_id", "task_type", "json", "problem"], dtype=object)
@@ -95,10 +95,18 @@ def parse_answers(answers: DataFrame) -> DataFrame:
     return answers.select("batch_index", "answer").mapInPandas(run, SCHEMA)
 
 
-def synthesize(spark: SparkSession, generate: Callable[[int], str], folder: str, target: int, per_round: int = 8, retries: int = 3, most_rounds: int = 1000) -> int:
+def unseen(new: DataFrame, old: DataFrame, key: str = "sample_id") -> DataFrame:
+    """The rows whose key ``old`` lacks."""
+    return new.join(old.select(key), key, "left_anti")
+
+
+def synthesize(
+    spark: SparkSession, generate: Callable[[int], str], folder: str, target: int, per_round: int = 8, retries: int = 3, most_rounds: int = 1000, progress: Callable[[dict], None] | None = None, **source: str
+) -> int:
     """Asks ``generate(batch_index)`` in rounds on the executors and appends new samples to ``folder`` until it has ``target``.
 
-    Resumes from what the folder holds; ends as well after ``most_rounds``, or after a round without a new sample.
+    Resumes from what the folder holds; ends as well after ``most_rounds``, or after a round without a new sample. ``progress`` is told the state before the first
+    round and after each one.
     """
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,16 +126,19 @@ def synthesize(spark: SparkSession, generate: Callable[[int], str], folder: str,
     old = have()
     count = old.count() if old is not None else 0
     first = (old.agg(F.max("round")).first()[0] if count else -1) + 1 if old is not None else 0
+    tell = lambda n: progress({"completed": count, "target_count": target, "next_batch_index": n * per_round}) if progress else None
+    tell(first)
     for n in range(first, first + most_rounds):
         if count >= target:
             break
         answers = spark.range(n * per_round, (n + 1) * per_round, numPartitions=per_round).mapInPandas(ask, "batch_index long, answer string")
-        new = parse_answers(answers).where("problem is null").drop("problem").dropDuplicates(["sample_id"])
+        new = parse_answers(answers, **source).where("problem is null").drop("problem").dropDuplicates(["sample_id"])
         if old is not None:
-            new = new.join(old.select("sample_id"), "sample_id", "left_anti")
+            new = unseen(new, old)
         new.withColumn("round", F.lit(n)).write.mode("append").parquet(folder)
         old = have()
         count, before = old.count(), count
+        tell(n + 1)
         if count == before:
             break
     return count

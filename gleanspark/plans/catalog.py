@@ -389,25 +389,12 @@ def fn_kthresh(spark, sf_dir):
     return t.k_suppressed(counts, "key", "n", 5)
 
 
-@query("SELECT strftime(d, '%Y-%m-%d') AS date FROM (SELECT unnest(generate_series(min(ts)::DATE, max(ts)::DATE, INTERVAL 1 DAY)) AS d FROM events)")
-def src_dates(spark, sf_dir):
-    span = _read(spark, sf_dir, "events").agg(F.min(F.to_date("ts")).alias("a"), F.max(F.to_date("ts")).alias("b"))
-    return span.select(F.explode(F.sequence("a", "b")).alias("d")).select(F.date_format("d", "yyyy-MM-dd").alias("date"))
-
-
 # ---------------------------------------------------------------- joins, sets, labels, synthetic samples
 
 
 @query("SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
 def jn_resume(spark, sf_dir):
-    return _read(spark, sf_dir, "documents").select("doc_id").join(_read(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti")
-
-
-@query("SELECT doc_id, source, count(*) OVER (PARTITION BY source) AS source_docs FROM documents")
-def jn_cache(spark, sf_dir):
-    docs = _read(spark, sf_dir, "documents").select("doc_id", "source")
-    answers = docs.groupBy(F.col("source").alias("asked")).agg(F.count("*").alias("source_docs"))
-    return docs.join(answers, F.col("source").eqNullSafe(F.col("asked"))).drop("asked")
+    return synthetic.unseen(_read(spark, sf_dir, "documents").select("doc_id"), _read(spark, sf_dir, "labels"), "doc_id")
 
 
 @query("""WITH w AS (SELECT doc_id, list_distinct(string_split(lower(text), ' ')) AS l FROM documents)

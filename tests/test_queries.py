@@ -1,4 +1,4 @@
-"""Every registered query of the engine's own operators against its SQL; of those without SQL, only that they run."""
+"""Every registered query of the engine's own operators against its SQL; of those without SQL, only that they run (the near-duplicate fold has a plain version in test_synthesis)."""
 
 import duckdb
 import pytest
