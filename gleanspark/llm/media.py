@@ -3,7 +3,8 @@
 A text's UTF-8 bytes, filled up with zeros to a positive multiple of 64, are stored as the pixels of an 8-bit grey PNG 64 wide.
 Each task appends its distinct payloads, named by their SHA-256, to its own tar shards in the
 shared folder, and rows carry digest, shard, offset and length. Equal payloads have equal digests and bytes; a
-task stores each once, so copies within a task share a place. Nothing is shuffled. Metadata columns come from range reads of the
+task stores each once, so copies within a task share a place. Texts and payloads are never shuffled; rows of places are dealt to reading tasks
+by slices of the shards. Metadata columns come from range reads of the
 first 33 bytes alone; payloads are read only for features.
 
 Null text counts as empty: 64 zeros. Repeated rows and ids share places. An empty table gives an empty
@@ -33,6 +34,8 @@ WIDTH, HEADER = 64, 33
 SHARD_BYTES = 256 << 20
 #: Digests whose place, or features, a task remembers.
 REMEMBERED = 100_000
+#: Stored bytes that a reading task gets.
+SLICE_BYTES = 32 << 20
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 
 
@@ -141,7 +144,14 @@ def store(docs: DataFrame, *, folder: str | None = None, doc_id: str = "doc_id",
 
     names = [doc_id, "n_bytes", "digest", "shard", "offset", "length"]
     schema = T.StructType([T.StructField(doc_id, docs.schema[doc_id].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("digest", T.StringType()), T.StructField("shard", T.StringType()), T.StructField("offset", T.LongType()), T.StructField("length", T.LongType())])
-    return scratch(docs.select(doc_id, text).mapInArrow(run, schema)), own
+    return _by_slices(scratch(docs.select(doc_id, text).mapInArrow(run, schema))), own
+
+
+def _by_slices(rows: DataFrame) -> DataFrame:
+    """``rows`` in tasks by stored bytes, not by rows: each reads slices of shards, in order of offset."""
+    ends = rows.groupBy("shard").agg(F.max(F.col("offset") + F.col("length")).alias("end"))
+    stored = ends.agg(F.sum("end")).first()[0] or 0
+    return rows.repartition(stored // SLICE_BYTES + 1, "shard", F.floor(F.col("offset") / SLICE_BYTES)).sortWithinPartitions("shard", "offset")
 
 
 def _read(rows: DataFrame, folder: str, columns: list[tuple[str, T.DataType, pa.DataType]], describe, whole: bool) -> DataFrame:
