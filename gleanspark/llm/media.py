@@ -34,8 +34,8 @@ WIDTH, HEADER = 64, 33
 SHARD_BYTES = 256 << 20
 #: Digests whose place, or features, a task remembers.
 REMEMBERED = 100_000
-#: Stored bytes that a reading task gets.
-SLICE_BYTES = 32 << 20
+#: Stored bytes that a reading task gets, and those of the slices that it gets them in: many a task, so that tasks come out alike.
+TASK_BYTES, SLICE_BYTES = 32 << 20, 2 << 20
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 
 
@@ -151,7 +151,7 @@ def _by_slices(rows: DataFrame) -> DataFrame:
     """``rows`` in tasks by stored bytes, not by rows: each reads slices of shards, in order of offset."""
     ends = rows.groupBy("shard").agg(F.max(F.col("offset") + F.col("length")).alias("end"))
     stored = ends.agg(F.sum("end")).first()[0] or 0
-    return rows.repartition(stored // SLICE_BYTES + 1, "shard", F.floor(F.col("offset") / SLICE_BYTES)).sortWithinPartitions("shard", "offset")
+    return rows.repartition(stored // TASK_BYTES + 1, "shard", F.floor(F.col("offset") / SLICE_BYTES)).sortWithinPartitions("shard", "offset")
 
 
 def _read(rows: DataFrame, folder: str, columns: list[tuple[str, T.DataType, pa.DataType]], describe, whole: bool) -> DataFrame:
