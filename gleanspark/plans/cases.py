@@ -5,6 +5,7 @@ A row takes the case that its id names; the expected results are written down be
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gleanspark.functions import records
 from gleanspark.functions import text as t
-from gleanspark.operators import labels, reports, samples, scoring, selection, synthetic
+from gleanspark.operators import exports, labels, reports, samples, scoring, selection, synthetic
 from gleanspark.operators.scoring import Config, content_hash
 from gleanspark.plans.catalog import SAMPLES, STATS, _read, _simhashes, query
 from gleanspark.sources import audit
@@ -405,6 +406,111 @@ def win_multi(spark, sf_dir):
     return told.select("date", "least_event", "turn_count", F.size("messages").cast("long").alias("n_messages"), said.alias("said"))
 
 
+# ---------------------------------------------------------------- exports
+
+
+def _stable(value) -> str:
+    return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+
+
+def _told_of(messages: list[dict]) -> str:
+    return hashlib.sha256(_stable({"date": "2026-01-01", "messages": messages, "request_id": "r"}).encode()).hexdigest()
+
+
+ASK_CODE, ASK_TOOL, CODE_REPLY = _user("请写一个 python 排序函数"), [{"role": "system", "content": "be brief"}, *_user("find a train")], _say(content="def sort(): pass")
+TOOL_REPLY = {"role": "assistant", "content": None, "tool_calls": [_call("c9")]}
+META = {"source_date": "2026-01-01", "risk_labels": [], "model_bucket": "openai"}
+CODE_META = META | {"route_label": "code_generation", "intent_label": "write_code", "score_bucket": "high", "value_labels": ["code_task", "well_formed_response"]}
+TOOL_META = META | {"route_label": "tool_agent", "intent_label": "use_tool", "score_bucket": "high", "value_labels": ["tool_task"]}
+CODE_TEXTS = {"instruction": "", "input": "请写一个 python 排序函数", "output": "def sort(): pass", "messages": [*ASK_CODE, {"role": "assistant", "content": "def sort(): pass"}]}
+TOOL_PARTS = {"messages": ASK_TOOL, "tools": TOOLS, "response_message": TOOL_REPLY}
+BUCKETS = {"prompt_tokens_bucket": "lt_512", "completion_tokens_bucket": "lt_512", "client_type_bucket": "unknown", "model_bucket": "openai"}
+CODE_FEATURES = BUCKETS | {"message_count": 1, "has_tools": False, "route_label": "code_generation", "intent_label": "write_code"}
+TOOL_FEATURES = BUCKETS | {"message_count": 2, "has_tools": True, "route_label": "tool_agent", "intent_label": "use_tool"}
+V1 = {"schema_version": "selected_training.v1"}
+#: A record, and what each export makes of it (nothing: no row). Position 1: sft, tool use, router; 4: the selected ones in that order; 7: the label queue, with a model's label of low confidence.
+EXPORTED = [
+    (
+        _record(ASK_CODE, CODE_REPLY, model="gpt-4o"), _stable(CODE_TEXTS | {"sample_id": _told_of(ASK_CODE), "metadata": {"source_date": "2026-01-01", "model": "gpt-4o"}}), None,
+        _stable({"sample_id": _told_of(ASK_CODE), "input": "请写一个 python 排序函数", "features": {"message_count": 1, "has_tools": False, "prompt_tokens": 0, "client_type": ""}, "labels": {"weak_model_label": "gpt-4o", "rule_label": "code_generation", "model_label": {"label": "reasoning", "confidence": 0.5}, "final_label": "reasoning", "confidence": "low"}}),
+        _stable(V1 | CODE_TEXTS | {"metadata": CODE_META}), None, _stable(V1 | {"input": "请写一个 python 排序函数", "features": CODE_FEATURES, "labels": {"final_label": "code_generation", "rule_label": "code_generation"}, "metadata": CODE_META}),
+        _stable({"schema_version": "label_queue.v2", "reason": "low_confidence_route", "features": CODE_FEATURES, "labels": {"route_label": "code_generation", "intent_label": "write_code", "confidence": "low"}}),
+    ),
+    (
+        _record(ASK_TOOL, TOOL_REPLY, model="gpt-4o", tools=TOOLS), None, _stable(TOOL_PARTS | {"sample_id": _told_of(ASK_TOOL), "metadata": {"source_date": "2026-01-01", "finish_reason": "stop", "model": "gpt-4o"}}),
+        _stable({"sample_id": _told_of(ASK_TOOL), "input": "find a train", "features": {"message_count": 2, "has_tools": True, "prompt_tokens": 0, "client_type": ""}, "labels": {"weak_model_label": "gpt-4o", "rule_label": "tool_agent", "model_label": None, "final_label": "tool_agent", "confidence": "medium"}}),
+        None, _stable(V1 | TOOL_PARTS | {"metadata": TOOL_META}), _stable(V1 | {"input": "find a train", "features": TOOL_FEATURES, "labels": {"final_label": "tool_agent", "rule_label": "tool_agent"}, "metadata": TOOL_META}), None,
+    ),
+]
+
+
+def _exported(k: int) -> str:
+    return f"SELECT json, count(*) AS n FROM (SELECT {expected(EXPORTED, k)} AS json FROM documents) WHERE json IS NOT NULL GROUP BY json"
+
+
+def _annotated(spark, sf_dir) -> DataFrame:
+    """Annotated samples of the records; what they may be used for is taken as selected."""
+    rows = scoring.annotate(_logs(spark, sf_dir, EXPORTED).where("reason is null").drop("reason"))
+    return rows.withColumn("selected", F.col("use_for"))
+
+
+def _lines(rows: DataFrame) -> DataFrame:
+    """Distinct exported records, keys sorted, and how often they come."""
+
+    def run(frames):
+        for f in frames:
+            yield f.assign(json=[_stable(json.loads(x)) for x in f["json"]])
+
+    return rows.groupBy("json").agg(F.count("*").alias("n")).mapInPandas(run, "json string, n long")
+
+
+def _model_route(rows: DataFrame) -> tuple[Column, Column]:
+    """A model's label, of low confidence, for samples without tools."""
+    return F.when(~F.col("has_tools"), "reasoning"), F.when(~F.col("has_tools"), F.lit(0.5))
+
+
+@query(_exported(1))
+def exp_sft_lines(spark, sf_dir):
+    return _lines(exports.sft(_annotated(spark, sf_dir)))
+
+
+@query(_exported(2))
+def exp_tool_lines(spark, sf_dir):
+    return _lines(exports.tool_use(_annotated(spark, sf_dir)))
+
+
+@query(_exported(3))
+def exp_router_lines(spark, sf_dir):
+    rows = _annotated(spark, sf_dir)
+    return _lines(exports.router(rows, *_model_route(rows)))
+
+
+@query(_exported(4))
+def exp_sel_sft_lines(spark, sf_dir):
+    return _lines(exports.selected_sft(_annotated(spark, sf_dir)))
+
+
+@query(_exported(5))
+def exp_sel_tool_lines(spark, sf_dir):
+    return _lines(exports.selected_tool_use(_annotated(spark, sf_dir)))
+
+
+@query(_exported(6))
+def exp_sel_router_lines(spark, sf_dir):
+    return _lines(exports.selected_router(_annotated(spark, sf_dir)))
+
+
+@query(_exported(7))
+def exp_queue_lines(spark, sf_dir):
+    rows = _annotated(spark, sf_dir)
+    return _lines(exports.label_queue(rows, *_model_route(rows)))
+
+
+@query(f"""SELECT '{{"date":"2026-01-01","reason":"' || reason || '","schema_version":"selection_report.v1"}}' AS json, count(*) AS n FROM (SELECT {expected(RECORDS, 1)} AS reason FROM documents) WHERE reason IS NOT NULL GROUP BY 1""")
+def snk_reject_lines(spark, sf_dir):
+    return _lines(exports.rejects(_logs(spark, sf_dir, RECORDS)))
+
+
 # ---------------------------------------------------------------- labels and synthetic samples
 
 
