@@ -1,8 +1,8 @@
 """Noise, near-duplicates, selection under quotas, and episodes.
 
 Ordered, greedy steps see slim rows only. Noise is two windows. Near-duplicates and selection under a binding quota are folds:
-rows are dealt by the fold's key, sorted by rank and streamed through a bounded state, never held as a group. Selection without a binding
-quota is a window over the duplicate keys.
+rows are dealt by the fold's key, sorted by rank and streamed through a bounded state, never held as a group. What the near-duplicate fold
+compares is computed before, where the rows are. Selection without a binding quota is a window over the duplicate keys.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections import namedtuple
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,11 +83,14 @@ def mark_noise(df: DataFrame, config: Config = Config()) -> DataFrame:
     return suppress(out, F.col("__burst"), "debug_burst", "debug_burst").drop("__repeat", "__burst")
 
 
-def fold(df: DataFrame, keys: list[str], order: list[Column], start: Callable[[], object], step: Callable, result: str) -> DataFrame:
-    """Streams rows by key in order through ``step(state, row) -> tuple of strings``; a state lives for one key. Returns ``df`` with the result's fields."""
+def fold(df: DataFrame, keys: list[str], order: list[Column], start: Callable[[], object], step: Callable, result: str, keep: list[str] | None = None) -> DataFrame:
+    """Streams rows by key in order through ``step(state, row) -> tuple of strings``; a state lives for one key. Returns the columns ``keep``
+    (all by default) with the result's fields."""
     ordered = df.repartition(*keys).sortWithinPartitions(*keys, *order)
+    kept = [c for c in df.columns if keep is None or c in keep]
+    at = [df.columns.index(c) for c in kept]
     added = StructType.fromDDL(result)
-    schema = StructType([*df.schema.fields, *added.fields])
+    schema = StructType([*[df.schema[c] for c in kept], *added.fields])
     row_type = namedtuple("Row", df.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,74 +103,150 @@ def fold(df: DataFrame, keys: list[str], order: list[Column], start: Callable[[]
                     now, state = key, start()
                 out.append(step(state, row))
             new = [pa.array([r[i] for r in out], pa.string()) for i in range(len(added.fields))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in at), *new], names=schema.names)
 
     return ordered.mapInArrow(run, schema)
 
 
+#: A set's marks: a bit for each member's hash, in 64 words.
+MARKS = 4096
+FEATURES = "bits long, n_chars int, n_tokens int, token_marks binary, n_pairs int, pair_marks binary"
+
+
+def _listed(text: str) -> tuple[list[str], str]:
+    """Words and character 3-grams, repeats included, and the text without spaces."""
+    compact = text.replace(" ", "")
+    return text.split() + [compact[i : i + 3] for i in range(len(compact) - 2)], compact
+
+
 def _grams(text: str, n: int) -> set[str]:
     return {text[i : i + n] for i in range(len(text) - n + 1)}
 
 
+def _packed(hashes: np.ndarray) -> bytes:
+    marks = np.zeros(MARKS, dtype=bool)
+    marks[hashes] = True
+    return np.packbits(marks).tobytes()
+
+
+def text_features(text: str, cache: dict) -> tuple:
+    """The fields of FEATURES: SimHash, length without spaces, and size and marks of the sets of tokens and of character pairs."""
+    listed, compact = _listed(text)
+    bits, tokens = t.weights(listed, cache), set(listed)
+    digests = np.frombuffer(b"".join(cache[x] for x in tokens), dtype="<u8")
+    points = np.frombuffer(compact.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+    pairs = np.unique(points[:-1] << np.uint64(32) | points[1:])
+    spread = (pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(52)  # the product's top 12 bits
+    return bits, len(compact), len(tokens), _packed((digests % MARKS).astype(np.int64)), len(pairs), _packed(spread.astype(np.int64))
+
+
+def with_text_features(df: DataFrame, config: Config) -> DataFrame:
+    """Rows whose ``dedupe_text`` is long enough to be compared, with FEATURES; where the rows are, in any order."""
+    schema = StructType([*df.schema.fields, *StructType.fromDDL(FEATURES).fields])
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
+    text_at = df.columns.index("dedupe_text")
+
+    def enough(text: str | None) -> bool:
+        if not text or len(text) < config.min_chars:
+            return False
+        return text.count(" ") + 1 + max(0, len(text) - text.count(" ") - 2) >= config.min_tokens
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache: dict = {}
+        for whole in batches:
+            texts = whole.column(text_at).to_pylist()
+            at = [i for i, text in enumerate(texts) if enough(text)]
+            rows = []
+            for i in at:
+                if len(cache) > 100_000:
+                    cache.clear()
+                rows.append(text_features(texts[i], cache))
+            batch = whole.take(pa.array(at, pa.int64()))
+            new = [pa.array([r[k] for r in rows], type_) for k, type_ in enumerate(types)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
 class Representatives:
-    """The first texts of a bucket that no earlier one resembles, at most ``most``."""
+    """The first texts of a bucket that no earlier one resembles, at most ``max_representatives``.
+
+    A new text meets all of them at once, in arrays: SimHash bits, then marks, which bound from below what one set lacks of the other. The sets
+    themselves are made only of pairs that the marks leave open.
+    """
 
     def __init__(self, config: Config) -> None:
-        self.config, self.texts, self.hashes = config, [], {}
+        self.config, self.texts, self.known, self.sets = config, [], set(), {}
+        self.bits, self.sizes = np.zeros(16, np.uint64), np.zeros((16, 3), np.int64)
+        self.marks = np.zeros((16, 2, MARKS // 64), np.uint64)
 
-    def check(self, text: str) -> str:
+    def check(self, row) -> str:
         """'' | 'near' | 'saturated'"""
-        compact = text.replace(" ", "")
-        listed = text.split() + [compact[i : i + 3] for i in range(len(compact) - 2)]
-        if len(self.hashes) > 100_000:
-            self.hashes.clear()
-        bits = t.weights(listed, self.hashes)
-        new = (text, bits, len(compact), *_marked(set(listed)), *_marked(_grams(compact, 2)))
-        for other in self.texts:
-            if other[0] == text:
-                return ""
-            if ((bits ^ other[1]) & ALL_BITS).bit_count() <= self.config.simhash_hamming or self.alike(new, other):
-                return "near"
-        if len(self.texts) >= self.config.max_representatives:
+        text = row.dedupe_text
+        if text in self.known:
+            return ""
+        bits = np.uint64(row.bits & ALL_BITS)
+        sizes = np.array([row.n_chars, row.n_tokens, row.n_pairs], np.int64)
+        marks = np.stack([np.frombuffer(m, np.uint64) for m in (row.token_marks, row.pair_marks)])
+        k = len(self.texts)
+        if (np.bitwise_count(self.bits[:k] ^ bits) <= self.config.simhash_hamming).any() or self.alike(text, sizes, marks):
+            return "near"
+        if k >= self.config.max_representatives:
             return "saturated"
-        self.texts.append(new)
+        if k == len(self.bits):
+            self.bits, self.sizes, self.marks = (np.concatenate([a, np.zeros_like(a)]) for a in (self.bits, self.sizes, self.marks))
+        self.bits[k], self.sizes[k], self.marks[k] = bits, sizes, marks
+        self.texts.append(text)
+        self.known.add(text)
         return ""
 
-    def alike(self, one: tuple, other: tuple) -> bool:
-        """Jaccard over tokens, or containment over 2-grams where one text is clearly shorter. The marks bound what
-        one set lacks of the other from below, which settles most pairs without the sets."""
-        least = self.config.jaccard
-        _, _, n, tokens, marks, pairs, pair_marks = one
-        _, _, m, its_tokens, its_marks, its_pairs, its_pair_marks = other
-        most = min(len(tokens) - (marks & ~its_marks).bit_count(), len(its_tokens) - (its_marks & ~marks).bit_count())
-        size = len(tokens) + len(its_tokens)
-        if most >= least * (size - most) and (both := len(tokens & its_tokens)) >= least * (size - both):
-            return True
-        if n > m:
-            n, m, pairs, pair_marks, its_pairs, its_pair_marks = m, n, its_pairs, its_pair_marks, pairs, pair_marks
-        if not n or n / m > 0.88 or not pairs or (pair_marks & ~its_pair_marks).bit_count() > (1 - least) * len(pairs) + 1:
-            return False
-        return len(pairs & its_pairs) / len(pairs) >= least
-
-
-def _marked(tokens: set[str]) -> tuple[set[str], int]:
-    """The set, and a bit for each token's hash."""
-    marks = 0
-    for x in tokens:
-        marks |= 1 << (hash(x) & 4095)
-    return tokens, marks
+    def alike(self, text: str, sizes: np.ndarray, marks: np.ndarray) -> bool:
+        """Jaccard over tokens, or containment over 2-grams where one text is clearly shorter."""
+        k, least = len(self.texts), self.config.jaccard
+        its, its_marks = self.sizes[:k], self.marks[:k]
+        lacks = np.bitwise_count(marks & ~its_marks).sum(axis=2, dtype=np.int64)  # of its tokens and pairs, what the new text has beyond them
+        its_lacks = np.bitwise_count(its_marks & ~marks).sum(axis=2, dtype=np.int64)
+        most = np.minimum(sizes[1] - lacks[:, 0], its[:, 1] - its_lacks[:, 0])
+        both = sizes[1] + its[:, 1]
+        own = None
+        for i in np.nonzero(most >= least * (both - most))[0]:
+            own = own or self._sets(text)
+            one, other = own[0], self._sets_of(i)[0]
+            shared = len(one & other)
+            if shared >= least * (len(one) + len(other) - shared):
+                return True
+        is_shorter = sizes[0] <= its[:, 0]
+        short, long = np.minimum(sizes[0], its[:, 0]), np.maximum(sizes[0], its[:, 0])
+        pairs, missing = np.where(is_shorter, sizes[2], its[:, 2]), np.where(is_shorter, lacks[:, 1], its_lacks[:, 1])
+        for i in np.nonzero((short > 0) & (short / np.maximum(long, 1) <= 0.88) & (pairs > 0) & (missing <= (1 - least) * pairs + 1))[0]:
+            own = own or self._sets(text)
+            one, other = (own[1], self._sets_of(i)[1]) if is_shorter[i] else (self._sets_of(i)[1], own[1])
+            if len(one & other) / len(one) >= least:
+                return True
+        return False
+
+    @staticmethod
+    def _sets(text: str) -> tuple[set[str], set[str]]:
+        listed, compact = _listed(text)
+        return set(listed), _grams(compact, 2)
+
+    def _sets_of(self, i: int) -> tuple[set[str], set[str]]:
+        if i not in self.sets:
+            self.sets[i] = self._sets(self.texts[i])
+        return self.sets[i]
 
 
 def mark_near_duplicates(df: DataFrame, config: Config = Config()) -> DataFrame:
     """In rank order within a bucket, rows that resemble an earlier representative."""
     if not config.dedupe or not config.near_duplicates:
         return df
-    tokens = t.dedupe_tokens(F.col("dedupe_text"))
-    open_ = (F.size("reject_reasons") == 0) & (F.size("use_for") > 0) & (F.length("dedupe_text") >= config.min_chars) & (F.size(tokens) >= config.min_tokens)
-    slim = df.where(open_).select("date", "dedupe_bucket", "sample_id", "line_no", "event_time_ms", "final_score", "value_labels", "dedupe_text")
-    checked = fold(slim, ["date", "dedupe_bucket"], rank_order(), lambda: Representatives(config), lambda state, row: (state.check(row.dedupe_text),), "near string")
-    found = checked.where("near <> ''").select("date", "sample_id", "line_no", "near").dropDuplicates(["date", "sample_id", "line_no"])
-    out = df.join(found, ["date", "sample_id", "line_no"], "left")
+    keys = ["date", "dedupe_bucket"]
+    open_ = (F.size("reject_reasons") == 0) & (F.size("use_for") > 0)
+    slim = df.where(open_).select(*keys, "sample_id", "line_no", "event_time_ms", "final_score", "value_labels", "dedupe_text")
+    row_id = ["date", "sample_id", "line_no"]
+    checked = fold(with_text_features(slim, config), keys, rank_order(), lambda: Representatives(config), lambda state, row: (state.check(row),), "near string", keep=row_id)
+    found = checked.where("near <> ''").select(*row_id, "near").dropDuplicates(row_id)
+    out = df.join(found, row_id, "left")
     out = out.withColumn("risk_labels", _add("risk_labels", F.coalesce(F.col("near") == "saturated", F.lit(False)), "dedupe_state_saturated"))
     return suppress(out, F.col("near") == "near", "near_duplicate_content", "near_duplicate").drop("near")
 

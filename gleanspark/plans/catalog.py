@@ -12,6 +12,7 @@ from gleanspark.functions import text as t
 from gleanspark.operators import exports, labels, reports, samples, scoring, selection, synthetic
 from gleanspark.operators.scoring import Config
 from gleanspark.sources import audit
+from gleanspark.sources.tables import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +33,11 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """Documents for expressions that cost more than reading: doc_id, text and the columns ``more``."""
+    return spread(_read(spark, sf_dir, "documents").select("doc_id", "text", *more))
+
+
 def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples.from_conversations(_read(spark, sf_dir, "conversations"))
 
@@ -226,7 +232,7 @@ def fn_normalize(spark, sf_dir):
 
 @query()
 def fn_norm_dedupe(spark, sf_dir):
-    return _read(spark, sf_dir, "documents").select("doc_id", t.normalize_for_dedupe(F.col("text")).alias("normalized"))
+    return _texts(spark, sf_dir).select("doc_id", t.normalize_for_dedupe(F.col("text")).alias("normalized"))
 
 
 @query("""WITH n AS (SELECT doc_id, trim(regexp_replace(regexp_replace(trim(lower(text)), '[^a-z ]+', ' ', 'g'), ' +', ' ', 'g')) AS s FROM documents),
@@ -241,7 +247,7 @@ def fn_tokens(spark, sf_dir):
 
 @query()
 def fn_simhash(spark, sf_dir):
-    rows = _read(spark, sf_dir, "documents").select("doc_id", t.normalize_for_dedupe(F.col("text")).alias("n"))
+    rows = _texts(spark, sf_dir).select("doc_id", t.normalize_for_dedupe(F.col("text")).alias("n"))
     return _simhashes(rows)
 
 
@@ -291,19 +297,19 @@ def fn_jaccard(spark, sf_dir):
 
 @query()
 def red_text(spark, sf_dir):
-    rows = t.redact(_read(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    rows = t.redact(_texts(spark, sf_dir), "text")
     return rows.select("doc_id", "redacted", F.array_join(F.transform(F.map_entries("redaction_stats"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",").alias("hits"))
 
 
 @query("""SELECT doc_id, len(list_distinct(regexp_extract_all(coalesce(text, ''), '\\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}\\b'))) AS emails FROM documents""")
 def red_count(spark, sf_dir):
-    rows = t.redact(_read(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    rows = t.redact(_texts(spark, sf_dir), "text")
     return rows.select("doc_id", F.coalesce(F.try_element_at("redaction_stats", F.lit("email")), F.lit(0)).cast("long").alias("emails"))
 
 
 @query()
 def leak_scan(spark, sf_dir):
-    return _read(spark, sf_dir, "documents").select("doc_id", t.leakage(F.col("text")).alias("reason"))
+    return _texts(spark, sf_dir).select("doc_id", t.leakage(F.col("text")).alias("reason"))
 
 
 @query("SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events")
@@ -356,7 +362,7 @@ def win_episode(spark, sf_dir):
 
 @query()
 def win_neardup(spark, sf_dir):
-    docs = _read(spark, sf_dir, "documents")
+    docs = _texts(spark, sf_dir, "lang", "source")
     none = F.array().cast("array<string>")
     rows = docs.select(
         F.col("doc_id").cast("string").alias("sample_id"), F.lit("d").alias("date"), F.col("doc_id").alias("line_no"), F.lit(None).cast("long").alias("event_time_ms"), F.lit(0.6).alias("final_score"), none.alias("value_labels"),

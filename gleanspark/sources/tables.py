@@ -20,3 +20,16 @@ def stored(df: DataFrame) -> DataFrame:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to all cores where it is smaller than a full split for each of them; larger inputs stay as their files' splits are.
+
+    A small Parquet file is often one row group, so one task, however heavy the expressions over it. What is shuffled is at most
+    ``spark.sql.files.maxPartitionBytes`` a core.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    full = cores * spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < full else df

@@ -9,6 +9,7 @@ from gleanspark.functions import text as t
 from gleanspark.operators import selection
 from gleanspark.operators.scoring import Config
 from gleanspark.plans import synthesis
+from gleanspark.sources import tables
 
 
 def test_settings(tmp_path):
@@ -101,3 +102,27 @@ def test_near_duplicates_against_plain_version(spark, most):
     ordered = sorted(((r["dedupe_bucket"], r["line_no"], r["dedupe_text"]) for r in rows.collect()), key=lambda r: r[1])
     want = plain_near(ordered, most=most)
     assert found == want and len(set(want.values())) == (1 if most == 128 else 2)
+
+
+def test_text_features_of_odd_texts():
+    cache: dict = {}
+    for text in ("", " ", "a", "ab", "\x00\x01", "日本 語", "𝄞𝄞 𝄞", "x" * 5000):
+        bits, n, tokens, token_marks, pairs, pair_marks = selection.text_features(text, cache)
+        compact = text.replace(" ", "")
+        assert n == len(compact) and pairs == len({compact[i : i + 2] for i in range(n - 1)})
+        assert tokens == len({*text.split(), *(compact[i : i + 3] for i in range(n - 2))})
+        assert -(1 << 63) <= bits < 1 << 63
+        for size, marks in ((tokens, token_marks), (pairs, pair_marks)):
+            assert len(marks) == selection.MARKS // 8 and (size > 0) == any(marks) and int.from_bytes(marks, "big").bit_count() <= size
+
+
+def test_spread_deals_small_tables_only(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    dealt = tables.spread(docs)
+    assert dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(dealt.collect()) == sorted(docs.collect())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+    try:
+        assert tables.spread(docs) is docs
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
