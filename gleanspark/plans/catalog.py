@@ -39,7 +39,7 @@ def _texts(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
 
 
 def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return samples.from_conversations(_read(spark, sf_dir, "conversations"))
+    return samples.from_conversations(spread(_read(spark, sf_dir, "conversations")))
 
 
 # ---------------------------------------------------------------- samples in SQL
