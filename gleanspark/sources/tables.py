@@ -22,14 +22,27 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _row_groups(spark: SparkSession, files: list[str]) -> int:
+    """Row groups of Parquet files, from their footers."""
+    jvm, conf, n = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
+    for file in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(path, conf))
+        n += reader.getRowGroups().size()
+        reader.close()
+    return n
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` dealt to all cores where it is smaller than a full split for each of them; larger inputs stay as their files' splits are.
+    """``df`` of Parquet files dealt to all cores where the files have fewer row groups than there are cores; else as it is.
 
-    A small Parquet file is often one row group, so one task, however heavy the expressions over it. What is shuffled is at most
-    ``spark.sql.files.maxPartitionBytes`` a core.
+    A row group is one task, however heavy the expressions over it. A table of a full split a core or more is never dealt, so what is shuffled is
+    at most ``spark.sql.files.maxPartitionBytes`` a core, and at most one footer a core is read.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     full = cores * spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < full else df
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= full:
+        return df
+    files = df.inputFiles()
+    return df.repartition(cores) if len(files) < cores and _row_groups(spark, files) < cores else df

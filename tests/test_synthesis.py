@@ -116,7 +116,7 @@ def test_text_features_of_odd_texts():
             assert len(marks) == selection.MARKS // 8 and (size > 0) == any(marks) and int.from_bytes(marks, "big").bit_count() <= size
 
 
-def test_spread_deals_small_tables_only(spark):
+def test_spread_deals_tables_of_few_row_groups(spark, tmp_path):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     dealt = tables.spread(docs)
     assert dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
@@ -126,3 +126,8 @@ def test_spread_deals_small_tables_only(spark):
         assert tables.spread(docs) is docs
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    dealt.write.option("parquet.block.size", 1024).parquet(str(tmp_path / "a b"))
+    many = spark.read.parquet(str(tmp_path / "a b"))
+    assert tables.spread(many) is many
+    none = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("false")
+    assert tables.spread(none).count() == 0
