@@ -10,6 +10,8 @@ from types import ModuleType
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanspark.sources.tables import spread
+
 #: Words: maximal runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -22,7 +24,8 @@ def worker_cache() -> dict:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table's rows; those of fewer row groups than cores are dealt to all cores."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def shared_dir(spark: SparkSession) -> str:
