@@ -180,14 +180,14 @@ class Representatives:
         self.bits, self.sizes = np.zeros(16, np.uint64), np.zeros((16, 3), np.int64)
         self.marks = np.zeros((16, 2, MARKS // 64), np.uint64)
 
-    def check(self, row) -> str:
-        """'' | 'near' | 'saturated'"""
-        text = row.dedupe_text
+    def check(self, text: str, features: tuple | None = None) -> str:
+        """'' | 'near' | 'saturated', by the text's FEATURES, which are computed where none are given."""
         if text in self.known:
             return ""
-        bits = np.uint64(row.bits & ALL_BITS)
-        sizes = np.array([row.n_chars, row.n_tokens, row.n_pairs], np.int64)
-        marks = np.stack([np.frombuffer(m, np.uint64) for m in (row.token_marks, row.pair_marks)])
+        own, n_chars, n_tokens, token_marks, n_pairs, pair_marks = features or text_features(text, {})
+        bits = np.uint64(own & ALL_BITS)
+        sizes = np.array([n_chars, n_tokens, n_pairs], np.int64)
+        marks = np.stack([np.frombuffer(m, np.uint64) for m in (token_marks, pair_marks)])
         k = len(self.texts)
         if (np.bitwise_count(self.bits[:k] ^ bits) <= self.config.simhash_hamming).any() or self.alike(text, sizes, marks):
             return "near"
@@ -244,7 +244,8 @@ def mark_near_duplicates(df: DataFrame, config: Config = Config()) -> DataFrame:
     open_ = (F.size("reject_reasons") == 0) & (F.size("use_for") > 0)
     slim = df.where(open_).select(*keys, "sample_id", "line_no", "event_time_ms", "final_score", "value_labels", "dedupe_text")
     row_id = ["date", "sample_id", "line_no"]
-    checked = fold(with_text_features(slim, config), keys, rank_order(), lambda: Representatives(config), lambda state, row: (state.check(row),), "near string", keep=row_id)
+    step = lambda state, row: (state.check(row.dedupe_text, (row.bits, row.n_chars, row.n_tokens, row.token_marks, row.n_pairs, row.pair_marks)),)
+    checked = fold(with_text_features(slim, config), keys, rank_order(), lambda: Representatives(config), step, "near string", keep=row_id)
     found = checked.where("near <> ''").select(*row_id, "near").dropDuplicates(row_id)
     out = df.join(found, row_id, "left")
     out = out.withColumn("risk_labels", _add("risk_labels", F.coalesce(F.col("near") == "saturated", F.lit(False)), "dedupe_state_saturated"))
