@@ -1,14 +1,16 @@
 """Noise, near-duplicates, selection under quotas, and episodes.
 
-Ordered, greedy steps see slim rows only. Noise is two windows. Near-duplicates and selection under a binding quota are folds:
-rows are dealt by the fold's key, sorted by rank and streamed through a bounded state, never held as a group. What the near-duplicate fold
-compares is computed before, where the rows are. Selection without a binding quota is a window over the duplicate keys.
+Ordered, greedy steps see slim rows only. Noise is two windows. Selection under a binding quota is a fold: rows are dealt by the fold's key, sorted
+by rank and streamed through a bounded state, never held as a group. Near-duplicates depend on a bucket's few representatives alone: a fold over
+the first open rows finds these, then all rows meet them where they are; small buckets are folded whole. Selection without a binding quota is a window over the duplicate keys.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import namedtuple
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -176,33 +178,45 @@ class Representatives:
     """
 
     def __init__(self, config: Config) -> None:
-        self.config, self.texts, self.known, self.sets = config, [], set(), {}
+        self.config, self.texts, self.known, self.sets = config, [], {}, {}
         self.bits, self.sizes = np.zeros(16, np.uint64), np.zeros((16, 3), np.int64)
         self.marks = np.zeros((16, 2, MARKS // 64), np.uint64)
 
     def check(self, text: str, features: tuple | None = None) -> str:
-        """'' | 'near' | 'saturated', by the text's FEATURES, which are computed where none are given."""
-        if text in self.known:
+        """'' | 'near' | 'saturated', by the text's FEATURES, which are computed where none are given. A new text becomes a representative."""
+        features = features or text_features(text, {})
+        if (found := self.state(text, features, len(self.texts))) or text in self.known:
+            return found
+        self.add(text, features)
+        return ""
+
+    def state(self, text: str, features: tuple, k: int) -> str:
+        """The same for a text that the first ``k`` representatives precede; nothing is added."""
+        if self.known.get(text, k) < k:
             return ""
-        own, n_chars, n_tokens, token_marks, n_pairs, pair_marks = features or text_features(text, {})
-        bits = np.uint64(own & ALL_BITS)
-        sizes = np.array([n_chars, n_tokens, n_pairs], np.int64)
-        marks = np.stack([np.frombuffer(m, np.uint64) for m in (token_marks, pair_marks)])
+        return "near" if self.resembles(text, features, k) else "saturated" if k >= self.config.max_representatives else ""
+
+    def add(self, text: str, features: tuple) -> None:
+        own, n_chars, n_tokens, token_marks, n_pairs, pair_marks = features
         k = len(self.texts)
-        if (np.bitwise_count(self.bits[:k] ^ bits) <= self.config.simhash_hamming).any() or self.alike(text, sizes, marks):
-            return "near"
-        if k >= self.config.max_representatives:
-            return "saturated"
         if k == len(self.bits):
             self.bits, self.sizes, self.marks = (np.concatenate([a, np.zeros_like(a)]) for a in (self.bits, self.sizes, self.marks))
-        self.bits[k], self.sizes[k], self.marks[k] = bits, sizes, marks
+        self.bits[k], self.sizes[k] = np.uint64(own & ALL_BITS), (n_chars, n_tokens, n_pairs)
+        self.marks[k] = [np.frombuffer(m, np.uint64) for m in (token_marks, pair_marks)]
         self.texts.append(text)
-        self.known.add(text)
-        return ""
+        self.known[text] = k
+
+    def resembles(self, text: str, features: tuple, k: int) -> bool:
+        """Any of the first ``k`` representatives, by SimHash or by sets."""
+        own, n_chars, n_tokens, token_marks, n_pairs, pair_marks = features
+        if (np.bitwise_count(self.bits[:k] ^ np.uint64(own & ALL_BITS)) <= self.config.simhash_hamming).any():
+            return True
+        marks = np.stack([np.frombuffer(m, np.uint64) for m in (token_marks, pair_marks)])
+        return self.alike(text, np.array([n_chars, n_tokens, n_pairs], np.int64), marks, k)
 
-    def alike(self, text: str, sizes: np.ndarray, marks: np.ndarray) -> bool:
+    def alike(self, text: str, sizes: np.ndarray, marks: np.ndarray, k: int) -> bool:
         """Jaccard over tokens, or containment over 2-grams where one text is clearly shorter."""
-        k, least = len(self.texts), self.config.jaccard
+        least = self.config.jaccard
         its, its_marks = self.sizes[:k], self.marks[:k]
         lacks = np.bitwise_count(marks & ~its_marks).sum(axis=2, dtype=np.int64)  # of its tokens and pairs, what the new text has beyond them
         its_lacks = np.bitwise_count(its_marks & ~marks).sum(axis=2, dtype=np.int64)
@@ -236,6 +250,142 @@ class Representatives:
         return self.sets[i]
 
 
+#: Rows of a bucket up to which a fold over it is one task. Open rows that a task gives to the search for representatives of larger buckets at once, and
+#: buckets searched together: both bound what a task and the driver hold.
+FOLD_ROWS, FIRST_ROWS, BUCKETS = 10_000, 256, 64
+FEATURE_NAMES = tuple(f.split()[0] for f in FEATURES.split(", "))
+
+
+def _rank(row) -> tuple:
+    """``rank_order`` in Python."""
+    score = row.final_score
+    first = (1, 0.0) if score is None else (0, -float("inf") if score != score else -score)
+    return first, not row.value_labels, row.event_time_ms is None, row.event_time_ms or 0, *((x is not None, x or type_()) for x, type_ in ((row.date, str), (row.line_no, int), (row.sample_id, str)))
+
+
+def _features(row) -> tuple:
+    return tuple(getattr(row, name) for name in FEATURE_NAMES)
+
+
+def _rows(batch: pa.RecordBatch, row_type: Callable) -> Iterator:
+    return map(row_type, zip(*(c.to_pylist() for c in batch.columns), strict=True))
+
+
+def _holding(reps: dict, config: Config) -> dict[tuple, Representatives]:
+    """Representatives by bucket, of (rank, text, features) in order."""
+    out = {}
+    for key, listed in reps.items():
+        out[key] = Representatives(config)
+        for _, text, features in listed:
+            out[key].add(text, features)
+    return out
+
+
+def find_representatives(rows: DataFrame, keys: list[str], config: Config) -> dict[tuple, list[tuple]]:
+    """(rank, text, FEATURES) of each bucket's representatives, in order: at most ``max_representatives`` a bucket.
+
+    A row that resembles a known representative can't become one. Of the others each task gives its first in rank order, and marks the one where it
+    stops; up to the first mark nothing is missing, so a fold over them finds what a fold over all rows would. A bucket that is neither full
+    nor at its end is searched again, with what was found; each search finds one more at least.
+    """
+    columns = [*keys, "sample_id", "line_no", "event_time_ms", "final_score", "value_labels", "dedupe_text", *FEATURE_NAMES]
+    rows = rows.select(*dict.fromkeys(columns))
+    row_type, names = namedtuple("Row", rows.columns)._make, rows.columns
+    given = StructType([*rows.schema.fields, *StructType.fromDDL("stops boolean").fields])
+    given_type, key_at = namedtuple("Row", given.names)._make, [names.index(k) for k in keys]
+    text_at = names.index("dedupe_text")
+    reps: dict[tuple, list[tuple]] = {}
+    left = None  # buckets that are not settled; None: all
+
+    def search(first: int) -> DataFrame:
+        known, open_ = reps, left
+
+        def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            holding, now, n, texts = _holding(known, config), None, 0, set()
+            for batch in batches:
+                at, stops = [], []
+                places = zip(*(batch.column(i).to_pylist() for i in (*key_at, text_at)), strict=True)
+                for i, (*key, text) in enumerate(places):
+                    if (key := tuple(key)) != now:
+                        now, n, texts = key, 0, set()
+                    if n > first or open_ is not None and key not in open_ or text in texts:
+                        continue
+                    if key in holding:
+                        row = row_type([c[i].as_py() for c in batch.columns])
+                        seen = holding[key]
+                        if text in seen.known or seen.resembles(text, _features(row), len(seen.texts)):
+                            continue
+                    n += 1
+                    texts.add(text)
+                    at.append(i)
+                    stops.append(n > first)
+                yield pa.RecordBatch.from_arrays([*batch.take(pa.array(at, pa.int64())).columns, pa.array(stops, pa.bool_())], names=given.names)
+
+        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            holding, now, over = _holding(known, config), None, False
+            for batch in batches:
+                at, stops = [], []
+                for i, row in enumerate(_rows(batch, given_type)):
+                    if (key := tuple(getattr(row, k) for k in keys)) != now:
+                        now, over = key, False
+                        seen = holding.pop(key, None) or Representatives(config)
+                    if over:
+                        continue
+                    n = len(seen.texts)
+                    seen.check(row.dedupe_text, _features(row))
+                    full = len(seen.texts) >= config.max_representatives
+                    over = full or row.stops
+                    if len(seen.texts) > n:
+                        at.append(i)
+                        stops.append(False)
+                    if over and not full:  # a mark of its own: nothing is known of what follows
+                        at.append(i)
+                        stops.append(True)
+                rows_ = batch.take(pa.array(at, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*rows_.columns[:-1], pa.array(stops, pa.bool_())], names=given.names)
+
+        firsts = rows.sortWithinPartitions(*keys, *rank_order()).mapInArrow(give, given)
+        return firsts.repartition(*keys).sortWithinPartitions(*keys, *rank_order()).mapInArrow(find, given)
+
+    first = FIRST_ROWS
+    while left is None or left:
+        found, left_now = {k: list(v) for k, v in reps.items()}, set()
+        for r in search(first).collect():
+            row = given_type(r)
+            key = tuple(getattr(row, k) for k in keys)
+            if row.stops:
+                left_now.add(key)
+            else:
+                found.setdefault(key, []).append((_rank(row), row.dedupe_text, tuple(bytes(x) if isinstance(x, bytearray) else x for x in _features(row))))
+        reps, left, first = {k: sorted(v, key=lambda r: r[0]) for k, v in found.items()}, left_now, first * 2
+    return reps
+
+
+def near_states(rows: DataFrame, keys: list[str], row_id: list[str], reps: dict[tuple, list[tuple]], config: Config) -> DataFrame:
+    """``row_id`` and ``near`` of the rows that resemble an earlier representative or come after the last one there may be: where the rows are, in any order."""
+    schema = StructType([*[rows.schema[c] for c in row_id], *StructType.fromDDL("near string").fields])
+    row_type = namedtuple("Row", rows.columns)._make
+    id_at = [rows.columns.index(c) for c in row_id]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holding = _holding(reps, config)
+        ranks = {key: [r[0] for r in listed] for key, listed in reps.items()}
+        for batch in batches:
+            at, states, before = [], [], {}
+            for i, row in enumerate(_rows(batch, row_type)):
+                key = tuple(getattr(row, k) for k in keys)
+                k = bisect_left(ranks.get(key, ()), _rank(row))
+                if (what := (key, k, row.dedupe_text)) not in before:
+                    before[what] = holding.setdefault(key, Representatives(config)).state(row.dedupe_text, _features(row), k)
+                if before[what]:
+                    at.append(i)
+                    states.append(before[what])
+            kept = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(kept.column(i) for i in id_at), pa.array(states, pa.string())], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def mark_near_duplicates(df: DataFrame, config: Config = Config()) -> DataFrame:
     """In rank order within a bucket, rows that resemble an earlier representative."""
     if not config.dedupe or not config.near_duplicates:
@@ -244,35 +394,61 @@ def mark_near_duplicates(df: DataFrame, config: Config = Config()) -> DataFrame:
     open_ = (F.size("reject_reasons") == 0) & (F.size("use_for") > 0)
     slim = df.where(open_).select(*keys, "sample_id", "line_no", "event_time_ms", "final_score", "value_labels", "dedupe_text")
     row_id = ["date", "sample_id", "line_no"]
-    step = lambda state, row: (state.check(row.dedupe_text, (row.bits, row.n_chars, row.n_tokens, row.token_marks, row.n_pairs, row.pair_marks)),)
-    checked = fold(with_text_features(slim, config), keys, rank_order(), lambda: Representatives(config), step, "near string", keep=row_id)
-    found = checked.where("near <> ''").select(*row_id, "near").dropDuplicates(row_id)
+    rows = stored(with_text_features(slim, config))  # read by every search and by the last pass
+    sizes = rows.groupBy(*keys).count().collect()
+    small, large = ([tuple(r[k] for k in keys) for r in sizes if (r["count"] > FOLD_ROWS) == is_large] for is_large in (False, True))
+    parts = []
+    if small or not large:
+        step = lambda state, row: (state.check(row.dedupe_text, _features(row)),)
+        own = rows if not large else rows.where(~_among(keys, large))
+        parts.append(fold(own, keys, rank_order(), lambda: Representatives(config), step, "near string", keep=row_id).where("near <> ''"))
+    for i in range(0, len(large), BUCKETS):
+        own = rows.where(_among(keys, large[i : i + BUCKETS]))
+        parts.append(near_states(own, keys, row_id, find_representatives(own, keys, config), config))
+    checked = stored(reduce(DataFrame.union, [p.select(*row_id, "near") for p in parts]))  # what follows reads it more than once
+    found = checked.dropDuplicates(row_id)
     out = df.join(found, row_id, "left")
     out = out.withColumn("risk_labels", _add("risk_labels", F.coalesce(F.col("near") == "saturated", F.lit(False)), "dedupe_state_saturated"))
     return suppress(out, F.col("near") == "near", "near_duplicate_content", "near_duplicate").drop("near")
 
 
+def _among(keys: list[str], buckets: list[tuple]) -> Column:
+    """Rows of these buckets."""
+    by: dict[tuple, list] = {}
+    for *before, last in buckets:
+        by.setdefault(tuple(before), []).append(last)
+    return reduce(Column.__or__, (reduce(Column.__and__, (F.col(k) == v for k, v in zip(keys, before)), F.col(keys[-1]).isin(lasts)) for before, lasts in by.items()))
+
+
 def mark_dedupe(annotated: DataFrame, config: Config = Config()) -> DataFrame:
     """Noise first, then near-duplicates over what it left."""
     noisy = mark_noise(with_dedupe_columns(use_for(annotated, config)), config)
     return mark_near_duplicates(noisy, config)
 
 
-def duplicate_key(text: str, response: Column) -> Column:
+def duplicate_key(kind: str, text: str, response: Column) -> Column:
     """A hash that two rows of a kind share if they are the same: text, route and intent; for SFT the reply, for tool use the tools."""
-    extra = F.when(F.col("kind") == "sft", response).when(F.col("kind") == "tool_use_sft", F.to_json(F.sort_array("tool_names"))).otherwise("")
+    extra = {"sft": response, "tool_use_sft": F.to_json(F.sort_array("tool_names"))}.get(kind, F.lit(""))
     return F.sha2(F.to_json(F.array(F.col(text), F.col("route_label"), F.col("intent_label"), extra)), 256)
 
 
+def with_kind_keys(df: DataFrame) -> DataFrame:
+    """Adds kind_keys: for each kind a sample may be used for, whether it leaks and its duplicate keys. Selection needs no message texts besides."""
+    leaks = lambda c: (F.col(c) != "") & t.leakage(F.col(c)).isNotNull()
+    unsafe = {"router_classification": leaks("user_text"), "sft": leaks("user_text") | leaks("response_text") | F.col("history_unsafe"), "tool_use_sft": F.col("tool_unsafe")}
+    normal = t.normalize_for_dedupe(F.col("response_text"))
+    of = lambda kind: F.struct(F.lit(kind).alias("kind"), unsafe[kind].alias("unsafe"), duplicate_key(kind, "normalized", F.col("response_text")).alias("exact"), duplicate_key(kind, "dedupe_text", normal).alias("normal"))
+    return df.withColumn("kind_keys", F.array_compact(F.array(*[F.when(F.array_contains("use_for", kind), of(kind)) for kind in KINDS])))
+
+
 def candidates(marked: DataFrame) -> DataFrame:
     """A row per sample and kind it may be used for, with duplicate keys, leak flag and order columns; no message texts."""
-    rows = marked.where(F.size("reject_reasons") == 0).withColumn("kind", F.explode("use_for"))
-    leaks = lambda c: (F.col(c) != "") & t.leakage(F.col(c)).isNotNull()
-    unsafe = F.when(F.col("kind") == "router_classification", leaks("user_text")).when(F.col("kind") == "sft", leaks("user_text") | leaks("response_text") | F.col("history_unsafe")).otherwise(F.col("tool_unsafe"))
+    rows = marked.where(F.size("reject_reasons") == 0)
+    rows = rows if "kind_keys" in marked.columns else with_kind_keys(rows)
+    rows = rows.withColumn("k", F.explode("kind_keys")).where(F.array_contains("use_for", F.col("k.kind")))
     return rows.select(
-        "date", "kind", "sample_id", "line_no", "event_time_ms", "final_score", "value_labels",
-        F.coalesce(F.nullif(F.col("user_hash"), F.lit("")), F.lit("unknown")).alias("user"), F.col("task_fingerprint").alias("task"), unsafe.alias("unsafe"),
-        duplicate_key("normalized", F.col("response_text")).alias("exact"), duplicate_key("dedupe_text", t.normalize_for_dedupe(F.col("response_text"))).alias("normal"),
+        "date", "k.kind", "sample_id", "line_no", "event_time_ms", "final_score", "value_labels",
+        F.coalesce(F.nullif(F.col("user_hash"), F.lit("")), F.lit("unknown")).alias("user"), F.col("task_fingerprint").alias("task"), "k.unsafe", "k.exact", "k.normal",
     )
 
 

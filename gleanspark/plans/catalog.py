@@ -12,7 +12,7 @@ from gleanspark.functions import text as t
 from gleanspark.operators import exports, labels, reports, samples, scoring, selection, synthetic
 from gleanspark.operators.scoring import Config
 from gleanspark.sources import audit
-from gleanspark.sources.tables import spread
+from gleanspark.sources.tables import spread, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -192,7 +192,7 @@ def exp_router(spark, sf_dir):
 
 
 def _selected(spark: SparkSession, sf_dir: str, config: Config = Config()) -> DataFrame:
-    marked = selection.mark_dedupe(_scored(spark, sf_dir), config)
+    marked = selection.mark_dedupe(stored(_scored(spark, sf_dir)), config)
     return selection.apply_decisions(marked, selection.select(marked, config), config)
 
 
@@ -374,13 +374,13 @@ def win_neardup(spark, sf_dir):
 
 @query()
 def win_select(spark, sf_dir):
-    return selection.select(selection.mark_dedupe(_scored(spark, sf_dir))).select("kind", "sample_id", "decision")
+    return selection.select(selection.mark_dedupe(stored(_scored(spark, sf_dir)))).select("kind", "sample_id", "decision")
 
 
 @query()
 def win_select_quota(spark, sf_dir):
     config = Config(max_sft_per_user=5, max_router_per_user=8)
-    return selection.select(selection.mark_dedupe(_scored(spark, sf_dir), config), config).select("kind", "sample_id", "decision")
+    return selection.select(selection.mark_dedupe(stored(_scored(spark, sf_dir)), config), config).select("kind", "sample_id", "decision")
 
 
 @query("SELECT event_id, user_id, n AS position FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS n FROM events) WHERE n <= 3")
@@ -477,7 +477,7 @@ def syn_parse(spark, sf_dir):
 
 def _logged(spark: SparkSession, sf_dir: str, tools: bool = False) -> DataFrame:
     """A log record of each document; what is wrong with it depends on its language."""
-    docs = _read(spark, sf_dir, "documents")
+    docs = spread(_read(spark, sf_dir, "documents"))
     by = lambda de, fr, es, en: F.when(F.col("lang") == "de", de).when(F.col("lang") == "fr", fr).when(F.col("lang") == "es", es).otherwise(en)
     lit, user = F.lit, F.struct(F.lit("user").alias("role"), F.col("text").alias("content"))
     function = lambda name, arguments: F.struct(lit("c1").alias("id"), lit("function").alias("type"), F.struct(name.alias("name"), arguments.alias("arguments")).alias("function"))
@@ -514,10 +514,21 @@ def red_tree(spark, sf_dir):
     return audit.canonicalise(_logged(spark, sf_dir)).where("reason is null").select("line_no", "sample_id", "redaction_hits", "messages_json")
 
 
+#: What only exports print.
+PRINTED = ("messages_json", "tools_json", "response_json")
+
+
 @query()
 def exp_sel_tool(spark, sf_dir):
-    marked = selection.mark_dedupe(scoring.annotate(audit.canonicalise(_logged(spark, sf_dir, tools=True)).where("reason is null").drop("reason")))
-    return exports.selected_tool_use(selection.apply_decisions(marked, selection.select(marked)))
+    read = audit.canonicalise(_logged(spark, sf_dir, tools=True), without=("canonical", "spoken_json")).where("reason is null")
+    rows = selection.with_kind_keys(selection.with_dedupe_columns(scoring.annotate(read)))
+    used = F.array_contains("use_for", "tool_use_sft")
+    texts = ("reason", "user_text", "response_text", "normalized")
+    rows = rows.withColumns({c: F.when(used, F.col(c)) for c in PRINTED}).withColumn("row", F.monotonically_increasing_id())
+    rows = stored(rows.drop(*texts))  # records are parsed once
+    marked = selection.mark_near_duplicates(stored(selection.mark_noise(rows.drop(*PRINTED))))
+    chosen = selection.apply_decisions(marked, selection.select(marked)).where(F.array_contains("selected", "tool_use_sft"))
+    return exports.selected_tool_use(chosen.join(rows.select("row", *PRINTED), "row"))
 
 
 @query()

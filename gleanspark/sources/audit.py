@@ -133,11 +133,12 @@ def hash_id(value) -> str:
     return "" if value is None or value == "" else hashlib.sha256(str(value).encode()).hexdigest()[:16]
 
 
-def canonicalise(raw: DataFrame) -> DataFrame:
-    """Samples, or reasons, of records that are already in a table: date, line_no, request_id, file_path, raw (JSON text)."""
+def canonicalise(raw: DataFrame, without: tuple[str, ...] = ()) -> DataFrame:
+    """Samples, or reasons, of records that are already in a table: date, line_no, request_id, file_path, raw (JSON text). Columns ``without`` are left out."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    schema = StructType.fromDDL(f"{SAMPLE_SCHEMA}, reason string")
+    schema = StructType([f for f in StructType.fromDDL(f"{SAMPLE_SCHEMA}, reason string") if f.name not in without])
+    whole = "canonical" not in without
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +148,7 @@ def canonicalise(raw: DataFrame) -> DataFrame:
                 row: dict = {"reason": None}
                 try:
                     value = records.parse(r["raw"] or "")
-                    row |= records.canonical(r["date"], r["line_no"], {"request_id": r["request_id"], "file_path": r["file_path"]}, value, hash_id)
+                    row |= records.canonical(r["date"], r["line_no"], {"request_id": r["request_id"], "file_path": r["file_path"]}, value, hash_id, whole)
                 except records.Rejected as e:
                     row["reason"] = str(e)
                 except ValueError:

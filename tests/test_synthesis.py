@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from gleanspark.functions import text as t
 from gleanspark.operators import selection
 from gleanspark.operators.scoring import Config
-from gleanspark.plans import synthesis
-from gleanspark.sources import tables
+from gleanspark.plans import catalog, synthesis
+from gleanspark.sources import audit, tables
 
 
 def test_settings(tmp_path):
@@ -131,3 +131,40 @@ def test_spread_deals_tables_of_few_row_groups(spark, tmp_path):
     assert tables.spread(many) is many
     none = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("false")
     assert tables.spread(none).count() == 0
+
+
+@pytest.mark.parametrize("most", [128, 3])
+def test_search_for_representatives_agrees_with_fold(spark, monkeypatch, most):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text is not null")
+    more = docs.select((F.col("doc_id") + 100_000).alias("doc_id"), "lang", F.concat(F.substring("text", 1, 300), F.when(F.col("doc_id") % 2 == 0, F.lit(" more")).otherwise(F.lit(" and quite a few other words that were not there before"))).alias("text"))
+    none, k = F.array().cast("array<string>"), F.col("doc_id")
+    rows = docs.select("doc_id", "lang", F.substring("text", 1, 300).alias("text")).union(more).union(docs.select(k + 200_000, "lang", F.substring("text", 1, 300))).repartition(5).select(
+        k.cast("string").alias("sample_id"), F.lit("d").alias("date"), k.alias("line_no"), F.when(k % 3 > 0, k * 7 % 11).alias("event_time_ms"), (k % 4 * 0.1 + 0.6).alias("final_score"),
+        F.when(k % 5 == 0, F.array(F.lit("code_task"))).otherwise(none).alias("value_labels"), F.coalesce("lang", F.lit("none")).alias("dedupe_bucket"), t.normalize_for_dedupe(F.col("text")).alias("dedupe_text"),
+        F.array(F.lit("sft")).alias("use_for"), none.alias("reject_reasons"), none.alias("risk_labels"), none.alias("suppressed_use_for"), none.alias("matched_reasons"),
+    ).cache()
+
+    def marked() -> list:
+        return sorted((r["line_no"], r["reject_reasons"], r["risk_labels"]) for r in selection.mark_near_duplicates(rows, Config(max_representatives=most)).collect())
+
+    folded = marked()
+    monkeypatch.setattr(selection, "FOLD_ROWS", 0)
+    monkeypatch.setattr(selection, "FIRST_ROWS", 2)  # several searches
+    monkeypatch.setattr(selection, "BUCKETS", 3)
+    assert marked() == folded and any(r[2] for r in folded)
+
+
+def test_selected_tool_use_parses_each_record_once(spark, monkeypatch):
+    seen, canonicalise = spark.sparkContext.accumulator(0), audit.canonicalise
+
+    def counted(raw, *args, **kwargs):
+        def run(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return canonicalise(raw.mapInArrow(run, raw.schema), *args, **kwargs)
+
+    monkeypatch.setattr(audit, "canonicalise", counted)
+    assert catalog.exp_sel_tool(spark, "/root/testdata/sf0.001").collect()
+    assert seen.value == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
