@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac as _hmac
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -54,7 +55,7 @@ PATH = (
     r"(?:^|\s)" + SEGMENT + r"(?:(?:[/\\]" + PLAIN + r")*+[/\\][A-Za-z0-9_.-]*\.[A-Za-z0-9_.-]+)++)"
 )
 PLACEHOLDER = r"(?iU)<[A-Z_]+_\d+>"
-NUMBER = r"(?U)(?<!\w)\d+(?:\.\d+)?(?!\w)"
+NUMBER = r"(?U)(?=\d)(?<!\w)\d+(?:\.\d+)?(?!\w)"
 PUNCTUATION = r"[，。！？；：、,.!?;:()/\\\[\]{}\"'`]+"
 #: Characters that count as white space although Java's class leaves them out.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
@@ -75,9 +76,13 @@ def normalize_for_dedupe(c: Column, max_chars: int = 1200) -> Column:
     """Normalised text with URLs, paths, placeholders and numbers as marks, without punctuation, and with
     adjacent repeats of control words collapsed."""
     text = normalize(c)
-    for pattern, mark in ((URL, " <url> "), (PATH, " <path> "), (PLACEHOLDER, " <redacted> "), (NUMBER, " <num> "), (PUNCTUATION, " ")):
+    one = F.array(text)  # names the text once, as below
+    for pattern, mark, needs in ((URL, " <url> ", ("://",)), (PATH, " <path> ", ("/", "\\")), (PLACEHOLDER, " <redacted> ", ("<",))):
+        one = F.transform(one, lambda x: F.when(reduce(Column.__or__, [x.contains(n) for n in needs]), F.regexp_replace(x, pattern, mark)).otherwise(x))  # noqa: B023
+    text = F.get(one, F.lit(0))
+    for pattern, mark in ((NUMBER, " <num> "), (PUNCTUATION, " ")):
         text = F.regexp_replace(text, pattern, mark)
-    text = F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+    text = F.trim(F.regexp_replace(text, " {2,}", " "))  # normalize left no other white space
     controls = F.array(*[F.lit(w) for w in CONTROL_TEXTS])
     # the one-element array names the words once, so they are not split anew for each of them
     kept = F.transform(F.array(F.split(text, " ")), lambda w: F.filter(w, lambda t, i: ~((i > 0) & (F.get(w, i - 1) == t) & F.array_contains(controls, t))))

@@ -323,3 +323,12 @@ def test_dates():
             audit.valid_date(bad)
     with pytest.raises(SystemExit):
         plans.parse_args(["--input-root", "x"])
+
+
+def test_redaction_looks_for_what_a_kind_needs():
+    for kind in records.NEEDS:
+        assert kind in {name for _, name, _ in records.REDACTIONS}
+    for text, kind in (("a@b.co", "email"), ("１３８００１３８０００" + "1", None), ("13800138000", "phone"), ("11010519900307123X", "cn_id"), ("6222 0212-3456 7890", "bank_card"), ("1.2.3.4", "ip"), ("١.٢.٣.٤", "ip")):
+        hits: dict[str, int] = {}
+        records.redact_text(f"say {text} now", hits)
+        assert (kind in hits) if kind else not hits, text
